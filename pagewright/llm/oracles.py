@@ -1,5 +1,29 @@
 r"""DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+OP1 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 2], ' ') END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)
+), e AS (
+  SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), r(x, y) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x
+), m AS (
+  SELECT x, min(y) AS component_id FROM r GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN m ON x = doc_id
+"""
+
 OP7 = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -52,6 +76,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 ORACLES: dict[str, str] = {
+    "op1_minhash_dedup": OP1,
     "op7_mixing": OP7,
     "op9_exact_dedup": OP9,
 }
