@@ -30,8 +30,11 @@ from pagewright import scratch
 
 #: Members of a group that one task compares with the kept text.
 SALT_ROWS = 4096
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; without files that RocksDB makes large beforehand, of which each partition has several.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -69,8 +72,9 @@ def stream_groups(narrow: DataFrame, at: str, state: str | None = None) -> DataF
         # a batch that is run again after a failure overwrites what it had written
         batch.write.mode("overwrite").parquet(f"{groups}/batch={batch_id}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
     try:
         query = (
             updates.writeStream.outputMode("update")
@@ -81,10 +85,8 @@ def stream_groups(narrow: DataFrame, at: str, state: str | None = None) -> DataF
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     read = spark.read.schema(updates.schema).parquet(groups)
     # a digest's size and best document only grow from batch to batch
     return read.groupBy("digest").agg(F.max("group_size").alias("group_size"), F.max("best").alias("best"))
