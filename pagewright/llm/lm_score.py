@@ -1,7 +1,8 @@
 r"""Language-model scores: the marginal likelihood of a text over all its subword segmentations.
 
 Method: an existing vocabulary gives the pieces and, by its scores, their first weights; one pass of
-expected counts over every distinct training word turns these into the corpus's. A word's
+expected counts over every distinct training word turns these into the corpus's (each word counts
+once: the subword edges have to foresee new words, which are like the rare ones). A word's
 probability is the sum over all ways to cut it into pieces, by a forward recursion in log space.
 Because a piece that begins a word carries the mark ``U+2581``, these sums are a proper distribution
 over words. A word seen in training also has its own edge through the lattice, whose weight is its
@@ -32,6 +33,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -161,6 +163,19 @@ def word_counts(train: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def with_lattice(counts: DataFrame, logs: dict[str, float]) -> DataFrame:
+    """``(word, c, lattice)``: log10 of each word's probability by its segmentations."""
+    sent = counts.sparkSession.sparkContext.broadcast(logs)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(sent.value)
+        for batch in batches:
+            found = [lattice.log10(word) for word in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["word", "c", "lattice"])
+
+    return counts.select("word", "c").mapInArrow(run, "word string, c long, lattice double")
+
+
 def fitted(counts: DataFrame, logs: dict[str, float]) -> dict[str, float]:
     """Piece weights after one pass of expected counts over all distinct words."""
     sent = counts.sparkSession.sparkContext.broadcast(logs)
@@ -168,11 +183,11 @@ def fitted(counts: DataFrame, logs: dict[str, float]) -> dict[str, float]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, total = Lattice(sent.value), {}
         for batch in batches:
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lattice.expect(word, c, total)
+            for word in batch.column(0).to_pylist():
+                lattice.expect(word, 1.0, total)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.float64())], names=["piece", "n"])
 
-    rows = counts.select("word", "c").mapInArrow(run, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+    rows = counts.select("word").mapInArrow(run, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
     table = rows.toArrow()  # as many rows as the vocabulary has pieces, at most
     found = dict(zip(table["piece"].to_pylist(), table["n"].to_pylist(), strict=True))
     if not found:
@@ -193,34 +208,31 @@ def score(docs: DataFrame, model_path: str, mod: int = 7, held_out: int = 2, top
     novel = min(1.0, max(singles, 1) / max(n_train, 1))
     bottom = n_train + n_kinds + 1
     logs = fitted(counts, vocabulary(model_path))
+    counts = scratch.table(with_lattice(counts, logs), "lm-words")
     head = counts.orderBy(F.desc("c"), "word").limit(top).toArrow()
-    sent = spark.sparkContext.broadcast((logs, head["word"].to_pylist(), head["c"].to_pylist()))
+    sent = spark.sparkContext.broadcast(tuple(head[c].to_pylist() for c in ("word", "c", "lattice")))
+    sent_logs = spark.sparkContext.broadcast(logs)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"uid long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, own double, "
-        "word string, lattice double, keep array<double>, held array<double>"
-    )
+    schema = f"uid long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, own double, word string, keep array<double>, held array<double>"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, top_words, top_counts = sent.value
-        lattice = Lattice(logs)
+        top_words, top_counts, top_lattice = sent.value
         fixed = len(top_words)
         number = {w.encode(): i for i, w in enumerate(top_words)}
         count = np.array(top_counts, dtype=np.int64)
-        chance = np.full(fixed, np.nan)  # of the frequent words, when first met
         base_log = np.log10((count + 1) / bottom)
+        chance = (1 - novel) * (count + 1) / bottom + novel * 10 ** np.array(top_lattice, dtype=np.float64)
         more: dict[bytes, int] = {}  # rarer words, by numbers from ``fixed`` on
         names: list[bytes] = []
-        rare_logs: list[float] = []
         uid = TaskContext.get().partitionId() << 33
 
         for batch in batches:
-            cols: list[list] = [[] for _ in range(11)]
+            cols: list[list] = [[] for _ in range(10)]
             for doc_id, is_held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words = words_of(text)
                 n = len(words)
                 if len(more) > WORDS_KEPT:
-                    more, names, rare_logs = {}, [], []
+                    more, names = {}, []
                 ids = np.empty(n, dtype=np.int64)
                 for k, word in enumerate(words):
                     i = number.get(word)
@@ -229,7 +241,6 @@ def score(docs: DataFrame, model_path: str, mod: int = 7, held_out: int = 2, top
                         if i is None:
                             i = more[word] = fixed + len(names)
                             names.append(word)
-                            rare_logs.append(lattice.log10(word.decode()))
                     ids[k] = i
                 order = np.argsort(ids, kind="stable")
                 ranked = ids[order]
@@ -243,9 +254,6 @@ def score(docs: DataFrame, model_path: str, mod: int = 7, held_out: int = 2, top
 
                 often = ids < fixed
                 known_ids = ids[often]
-                for i in np.unique(known_ids[np.isnan(chance[known_ids])]) if len(known_ids) else ():
-                    word = top_words[i]
-                    chance[i] = (1 - novel) * (count[i] + 1) / bottom + novel * 10 ** lattice.log10(word)
                 own = float(np.log10(keep[often] * chance[known_ids] + held_part[often]).sum())
                 base = float(base_log[known_ids].sum())
                 end_keep = 1 - OWN * n / (n + OWN_AFTER)
@@ -253,7 +261,7 @@ def score(docs: DataFrame, model_path: str, mod: int = 7, held_out: int = 2, top
                 own += math.log10(end_keep * (ends + 1) / bottom)
                 rare = ~often
                 own += float(np.log10(keep[rare & (before == 0)]).sum())
-                for col, value in zip(cols, (uid, doc_id, is_held, n + 1, len(known_ids) + (ends > 0), base, own, None, None, None, None), strict=True):
+                for col, value in zip(cols, (uid, doc_id, is_held, n + 1, len(known_ids) + (ends > 0), base, own, None, None, None), strict=True):
                     col.append(value)
                 if rare.any():
                     again = np.flatnonzero(rare & (before > 0))
@@ -262,17 +270,25 @@ def score(docs: DataFrame, model_path: str, mod: int = 7, held_out: int = 2, top
                         repeats.setdefault(int(ids[k]), []).append(int(k))
                     for i in np.unique(ids[rare]).tolist():
                         at = repeats.get(i, [])
-                        for col, value in zip(cols, (uid, None, None, None, None, None, None, names[i - fixed].decode(), rare_logs[i - fixed], keep[at].tolist(), held_part[at].tolist()), strict=True):
+                        for col, value in zip(cols, (uid, None, None, None, None, None, None, names[i - fixed].decode(), keep[at].tolist(), held_part[at].tolist()), strict=True):
                             col.append(value)
                 uid += 1
-            types = [pa.int64(), batch.schema.field(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
-            names_out = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "own", "word", "lattice", "keep", "held"]
+            types = [pa.int64(), batch.schema.field(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+            names_out = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "own", "word", "keep", "held"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types, strict=True)], names=names_out)
 
     parts = docs.select("doc_id", held.alias("held_out"), F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
     # a text's own row meets no word; its key deals such rows evenly (no word holds a space)
     key = F.coalesce("word", F.concat(F.lit(" "), F.col("uid").cast("string")))
-    joined = parts.withColumn("key", key).join(counts.select(F.col("word").alias("key"), "c"), "key", "left")
+    joined = parts.withColumn("key", key).join(counts.select(F.col("word").alias("key"), "c", "lattice"), "key", "left")
+
+    @F.pandas_udf("double")
+    def lattice_of(words: pd.Series) -> pd.Series:
+        lattice = Lattice(sent_logs.value)
+        return words.map(lambda w: None if w is None else lattice.log10(w)).astype("float64")
+
+    unseen = F.when(F.col("c").isNull(), F.col("word"))
+    joined = joined.withColumn("lattice", F.coalesce("lattice", lattice_of(unseen)))
     c = F.coalesce("c", F.lit(0))
     plain = (c + 1) / F.lit(float(bottom))
     chance = F.when(c > 0, plain * (1 - novel)).otherwise(0.0) + F.pow(F.lit(10.0), "lattice") * novel
