@@ -24,6 +24,27 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 FROM documents LEFT JOIN n USING (doc_id) JOIN m ON x = doc_id
 """
 
+OP3 = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), u AS (
+  SELECT vec_id, e FROM v
+  WHERE e IS NOT NULL AND len(e) > 0 AND NOT list_bool_or(list_transform(e, lambda x: x IS NULL OR NOT isfinite(x))) AND list_bool_or(list_transform(e, lambda x: x <> 0))
+), p AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), e AS (
+  SELECT x, y FROM p UNION ALL SELECT y, x FROM p
+), r(x, y) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x
+), m AS (
+  SELECT x, min(y) AS component_id FROM r GROUP BY x
+), n AS (
+  SELECT x, count(*) AS n_links FROM e GROUP BY x
+)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN m ON m.x = vec_id LEFT JOIN n ON n.x = vec_id
+"""
+
 OP7 = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -77,6 +98,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": OP1,
+    "op3_embedding_dedup": OP3,
     "op7_mixing": OP7,
     "op9_exact_dedup": OP9,
 }

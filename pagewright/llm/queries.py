@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import bpe, exact_dedup, lang_id, lm_score, minhash, mixing, token_counts
+from pagewright.llm import bpe, embed_dedup, exact_dedup, lang_id, lm_score, minhash, mixing, token_counts
 from pagewright.session import ship
 
 
@@ -20,6 +20,10 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(_read(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op5_language_id": op5_language_id,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
