@@ -24,6 +24,20 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 FROM documents LEFT JOIN n USING (doc_id) JOIN m ON x = doc_id
 """
 
+OP2 = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS hex FROM pages
+), q AS (
+  SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, min(page_id) OVER (PARTITION BY h) AS first,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(hex, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (5 * (3 - i % 4))::INT) & 31)::INT + 1, 1)), '') AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM q
+"""
+
 OP3 = r"""
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
@@ -98,6 +112,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": OP1,
+    "op2_warc": OP2,
     "op3_embedding_dedup": OP3,
     "op7_mixing": OP7,
     "op9_exact_dedup": OP9,
