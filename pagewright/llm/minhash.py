@@ -17,15 +17,16 @@ columns are passed over whatever their names; an empty table gives an empty resu
 cut.
 
 Scale: documents with equal sets are one class, so a group of copies costs one class. In a bucket
-every class is first checked against the bucket's smallest one (pairs linear in rows). Only classes
-that this leaves in another component than the bucket's smallest are then compared with the rest of
-their bucket, in blocks of at most about ``BLOCK`` by ``BLOCK`` sketches, so that no pair is lost
-and nothing unbounded meets in one task. There is no cap on buckets. Per-word hashes are kept in a
-table that is emptied when it is full; that affects speed only.
+every class is first checked against ``LEADERS`` of its classes, those least under as many hashes of
+the id (pairs linear in rows). Only a class that this leaves outside the bucket's largest component
+is then compared with the rest of its bucket: in small buckets by pairs that size and sketch leave,
+in larger ones by full sets in blocks of about ``BLOCK`` by ``BLOCK``, which return links and no
+pairs. So no pair of a bucket is lost, nothing unbounded meets in one task, and there is no cap on
+buckets. Per-word hashes are kept in a table that is emptied when it is full; that affects speed only.
 
 Recall: with 32 bands of 4 a pair at the limit of 0.85 is missed with probability
-``(1 - 0.85**4)**32 = 6e-11``; the sketch filter (estimate under ``FLOOR``) is 5.6 standard
-deviations below the limit.
+``(1 - 0.85**4)**32 = 6e-11`` (at 0.8 with 5e-8); the sketch filter lets pass what is up to
+``SLACK`` standard deviations below the limit.
 """
 
 from __future__ import annotations
@@ -45,9 +46,17 @@ from pagewright.operators.components import connected_components
 
 T = 128
 ROWS = 4
-BLOCK = 64
-#: Least share of equal sketch bytes for which a pair is checked on full sets.
-FLOOR = 0.675
+#: Classes of a bucket that are each compared with all of its classes.
+LEADERS = 3
+#: Buckets up to this size list the pairs that are left; larger ones are compared block by block.
+SMALL = 32
+BLOCK = 256
+#: Shingles that a block is compared by at a time.
+COLUMNS = 8192
+#: Standard deviations below the limit down to which a sketch's estimate has a pair checked on full sets.
+SLACK = 5.6
+#: Lower limits need other bands to be found with certainty.
+LEAST_PERCENT = 70
 #: Entries of a worker's table of word hashes.
 WORDS_KEPT = 400_000
 #: Hash values computed at a time for short documents.
@@ -153,7 +162,9 @@ def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
 
 def _near(share: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
     """Whether full sets have to be compared: sizes are near enough, and so are sketches."""
-    return (share >= FLOOR * T) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+    limit = percent / 100
+    floor = limit - SLACK * (limit * (1 - limit) / T) ** 0.5
+    return (share >= floor * T) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -182,44 +193,91 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * both >= percent * either).select("a", "b")
 
 
-def _strays(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of classes that share a bucket but no component: ``(a, b)``."""
-    named = labels.select(F.col("node").alias("id"), F.col("component").alias("own"))
-    lead = labels.select(F.col("node").alias("leader"), F.col("component").alias("lead"))
-    known = members.join(named, "id", "left").join(lead, "leader", "left")
-    known = known.select("key", "id", "m", F.coalesce("own", "id").alias("own"), F.coalesce("lead", "leader").alias("lead"))
-    known = scratch.table(known, "minhash-known")
-    counts = scratch.table(known.where("own <> lead").groupBy("key").agg(F.count("*").alias("s")), "minhash-open")
-    if counts.isEmpty():
-        return members.select(F.col("id").alias("a"), F.col("leader").alias("b")).limit(0)
-    opened = known.join(counts, "key").join(classes.select("id", "n_shingles", "sketch"), "id")
-    rows, cols = F.ceil(F.col("s") / BLOCK).cast("long"), F.ceil(F.col("m") / BLOCK).cast("long")
-    cells = opened.withColumns({"rows": rows, "cols": cols, "hash": F.xxhash64("id")})
-    fields = ["id", "own", "n_shingles", "sketch"]
-    stray = cells.where("own <> lead").select("key", F.pmod("hash", "rows").cast("long").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cols") - 1)).alias("j"), F.lit(1).alias("stray"), *fields)
-    each = cells.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"), F.pmod("hash", "cols").cast("long").alias("j"), F.lit(0).alias("stray"), *fields)
+def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(key, id, own, major, m, strays)`` of buckets that hold several components; major: the largest there."""
+    known = members.select("key", "id").join(labels.select(F.col("node").alias("id"), F.col("component").alias("own")), "id", "left")
+    known = scratch.table(known.select("key", "id", F.coalesce("own", "id").alias("own")), "minhash-known")
+    parts = known.groupBy("key", "own").agg(F.count("*").alias("n"))
+    parts = parts.groupBy("key").agg(F.max(F.struct("n", "own")).alias("top"), F.sum("n").alias("m"), F.count("*").alias("parts")).where("parts > 1")
+    opened = parts.select("key", F.col("top.own").alias("major"), "m", (F.col("m") - F.col("top.n")).alias("strays"))
+    return scratch.table(known.join(scratch.table(opened, "minhash-opened"), "key"), "minhash-open")
+
+
+def _pairs_in_small(opened: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs ``(a, b)`` of different components in buckets of at most ``SMALL`` classes."""
 
     def handle(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        ids, own, n, stray = (table[c].to_numpy() for c in ("id", "own", "n_shingles", "stray"))
+        ids, own, n = (table[c].to_numpy() for c in ("id", "own", "n_shingles"))
         small = fixed(table["sketch"], "u1", T)
         found: list[np.ndarray] = []
         for low, high in zip(starts, np.append(starts[1:], table.num_rows), strict=True):
-            x, y = (low + np.flatnonzero(stray[low:high] == k) for k in (1, 0))
-            for part in np.array_split(x, max(1, len(x) // BLOCK)):
-                equal = (small[part][:, None, :] == small[y][None, :, :]).sum(axis=2)
-                near = _near(equal, n[part][:, None], n[y][None, :], percent) & (own[part][:, None] != own[y][None, :])
-                p, q = np.nonzero(near)
-                if len(p):
-                    found.append(np.stack([ids[part[p]], ids[y[q]]]))
-        if found:
-            pairs = np.concatenate(found, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=0)), pa.array(pairs.max(axis=0))], names=["a", "b"])
+            part = slice(low, high)
+            equal = (small[part][:, None, :] == small[part][None, :, :]).sum(axis=2)
+            near = _near(equal, n[part][:, None], n[part][None, :], percent) & (own[part][:, None] != own[part][None, :])
+            p, q = np.nonzero(np.triu(near, 1))
+            found.append(np.stack([ids[part][p], ids[part][q]]))
+        pairs = np.concatenate(found, axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=0)), pa.array(pairs.max(axis=0))], names=["a", "b"])
+
+    rows = opened.where(F.col("m") <= SMALL).select("key", "id", "own").join(classes.select("id", "n_shingles", "sketch"), "id")
+    return grouped(rows, ["key"], handle, "a long, b long").distinct()
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The size of the intersection of each set on the left with each on the right."""
+    sets = left + right
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for low in range(0, int(column[-1]) + 1, COLUMNS):
+        part = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        held[owner[part], column[part] - low] = 1
+        out += held[: len(left)] @ held[len(left) :].T
+    return out
+
+
+def _links_in_large(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` of strays in buckets of more than ``SMALL`` classes, checked on full sets block by block.
+
+    A stray gives one link for each component that it is linked with in a block, so what comes out
+    is linear in what goes in even where thousands of documents are almost similar enough.
+    """
+    cells = opened.where(F.col("m") > SMALL).join(sets, "id")
+    rows, cols = F.ceil(F.col("strays") / BLOCK).cast("long"), F.ceil(F.col("m") / BLOCK).cast("long")
+    cells = cells.withColumns({"rows": rows, "cols": cols, "hash": F.xxhash64("id")})
+    fields = ["id", "own", "set"]
+    along, down = F.sequence(F.lit(0).cast("long"), F.col("cols") - 1), F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)
+    stray = cells.where("own <> major").select("key", F.pmod("hash", "rows").cast("long").alias("i"), F.explode(along).alias("j"), F.lit(1).alias("stray"), *fields)
+    each = cells.select("key", F.explode(down).alias("i"), F.pmod("hash", "cols").cast("long").alias("j"), F.lit(0).alias("stray"), *fields)
 
-    return grouped(stray.unionByName(each), ["key", "i", "j"], handle, "a long, b long").distinct()
+    def handle(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, own, stray = (table[c].to_numpy() for c in ("id", "own", "stray"))
+        found: list[tuple[int, int]] = []
+        for low, high in zip(starts, np.append(starts[1:], table.num_rows), strict=True):
+            x, y = (low + np.flatnonzero(stray[low:high] == k) for k in (1, 0))
+            if not len(x) or not len(y):
+                continue
+            held = [np.asarray(s.values) for s in table["set"].slice(low, high - low)]
+            left, right = [held[i - low] for i in x], [held[i - low] for i in y]
+            both = _overlaps(left, right)
+            either = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :] - both
+            linked = (100 * both >= percent * either) & (own[x][:, None] != own[y][None, :])
+            for p in np.flatnonzero(linked.any(axis=1)):
+                q = np.flatnonzero(linked[p])
+                _, first = np.unique(own[y[q]], return_index=True)
+                found.extend((int(ids[x[p]]), int(ids[y[k]])) for k in q[first])
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return grouped(stray.unionByName(each), ["key", "i", "j"], handle, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"percent under {LEAST_PERCENT}: the bands would miss pairs")
     sigs = scratch.table(signatures(docs, width), "minhash-signatures")
     linkable = sigs.where("print is not null")
     same = linkable.groupBy("print").agg(F.min("doc_id").alias("id"))
@@ -229,17 +287,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = scratch.table(classes, "minhash-classes")
 
     banded = classes.select("id", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("m")).where("m > 1")
+    least = [F.min(F.struct(F.xxhash64(F.lit(i), "id"), "id"))["id"] for i in range(LEADERS)]
+    buckets = banded.groupBy("key").agg(F.array(*least).alias("leaders"), F.count("*").alias("m")).where("m > 1")
     members = scratch.table(banded.join(scratch.table(buckets, "minhash-buckets"), "key"), "minhash-members")
 
     wanted = members.select("id").distinct().join(classes.select("id", "print"), "id")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id")
     sets = scratch.table(shingle_sets(texts, width), "minhash-sets")
 
-    to_leader = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = scratch.table(_confirmed(_likely(to_leader, classes, percent), sets, percent), "minhash-links")
+    led = members.select("id", F.explode("leaders").alias("leader")).where("id <> leader")
+    pairs = led.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+    links = scratch.table(_confirmed(_likely(pairs, classes, percent), sets, percent), "minhash-links")
     labels = connected_components(links, "a", "b")
-    more = scratch.table(_confirmed(_strays(members, labels, classes, percent), sets, percent), "minhash-links")
+    opened = _open_buckets(members, labels)
+    more = _confirmed(_pairs_in_small(opened, classes, percent), sets, percent).unionByName(_links_in_large(opened, sets, percent))
+    more = scratch.table(more, "minhash-links")
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more), "a", "b")
 
