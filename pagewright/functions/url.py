@@ -160,7 +160,8 @@ def join(base: Column, href: Column) -> Column:
     tail = F.regexp_extract(href, r"(?s)([?#].*)\z", 1)
     own_path = path(href)
     folder = F.regexp_replace(path(base), r"[^/]*\z", "")
-    merged = F.when(own_path.startswith("/"), own_path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), own_path))
+    relative = F.concat(F.when(folder == "", "/").otherwise(folder), own_path)
+    merged = F.when(own_path.startswith("/"), own_path).otherwise(F.regexp_replace(relative, "/{2,}", "/"))  # as the standard library does
     return (
         F.when(F.length(href) == 0, base)
         .when(scheme(href) != "", href)

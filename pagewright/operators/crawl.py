@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from pagewright import scratch
 from pagewright.config import DEFAULT, Settings
@@ -80,13 +81,10 @@ def verified(candidates: DataFrame, pages: DataFrame, provider, settings: Settin
     parsed = H.parsed(wanted)
     text = T.readable(F.col("parsed.readable"), settings.content_chars)
     ready = parsed.select("url", "html", text.alias("content"))
-    schema = f"url string, answer {VERIFICATION}"
+    schema = StructType.fromDDL(f"url string, answer {VERIFICATION}")
+    kind = to_arrow_type(schema["answer"].dataType)
 
     def call(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_type
-        from pyspark.sql.types import StructType
-
-        kind = to_arrow_type(StructType.fromDDL(schema)["answer"].dataType)
         for batch in batches:
             answers = []
             for url, html, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -99,7 +97,7 @@ def verified(candidates: DataFrame, pages: DataFrame, provider, settings: Settin
                     "course_name": read.get("course_name"), "semester": read.get("semester"), "reasoning": read.get("reasoning"),
                     "has_other_course_links": bool(read.get("has_other_course_links")),
                 })
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(json.loads(json.dumps(answers)), kind)], names=["url", "answer"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(answers, kind)], names=["url", "answer"])
 
     answered = ready.mapInArrow(call, schema)
     n_links = L.page_links(wanted.where("html is not null")).groupBy(F.col("source_url").alias("url")).agg(F.count("*").alias("n_links"))
