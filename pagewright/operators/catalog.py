@@ -13,6 +13,7 @@ from pagewright.functions import html as H
 from pagewright.functions import text as T
 from pagewright.functions import url as U
 from pagewright.operators.dedup import material_dedup
+from pagewright.operators.ranking import numbered
 from pagewright.providers import parse_json_ladder
 
 FIELDS = ["url", "course_code", "course_title", "semester", "year"]
@@ -21,14 +22,13 @@ FIELDS = ["url", "course_code", "course_title", "semester", "year"]
 def grouped(rows: DataFrame) -> DataFrame:
     """G1, O3: rows ``(idx, url, course_code, ...)`` with ``group_type``, ``group_key`` and ``type_rank``.
 
-    Rows with neither code nor title are groups of their own, numbered by input order; that numbering
-    ranks those rows alone.
+    Rows with neither code nor title are groups of their own, numbered by input order.
     """
     code, title = T.safe_text(F.col("course_code")), T.safe_text(F.col("course_title"))
     kind = F.when(code != "", "course_code").when(title != "", "course_title").otherwise("singleton")
     typed = rows.withColumns({"group_type": kind, "_key": F.when(code != "", code).when(title != "", title)})
     single = typed.where("group_type = 'singleton'").withColumn("type_rank", F.lit(2))
-    single = single.withColumn("group_key", F.concat(F.lit("singleton_"), F.row_number().over(Window.orderBy("idx")).cast("string")))
+    single = numbered(single, ["idx"]).withColumn("group_key", F.concat(F.lit("singleton_"), F.col("number").cast("string")))
     named = typed.where("group_type <> 'singleton'").withColumns({"type_rank": F.when(F.col("group_type") == "course_code", 0).otherwise(1), "group_key": F.col("_key")})
     return named.unionByName(single.select(*named.columns)).drop("_key")
 

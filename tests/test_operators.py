@@ -5,6 +5,7 @@ from pagewright import scratch
 from pagewright.config import DEFAULT, Settings
 from pagewright.operators import analyze, cache, catalog, crawl, dedup, resolve, stats
 from pagewright.operators.components import connected_components
+from pagewright.operators.ranking import numbered
 from pagewright.plans.literals import frame
 from pagewright.providers import HeuristicProvider, KeyRing, RetryingProvider, ai_fields, parse_json_ladder, render
 from pagewright.sources import sinks, tables
@@ -42,6 +43,12 @@ def test_first_wins_does_not_depend_on_partitions(spark):
     assert dedup.first_by_window(rows, ["k"], ["o"]).count() == 7
 
 
+def test_numbering_is_global(spark):
+    rows = spark.range(0, 500, 1, 7).select(((F.col("id") * 37) % 1009).alias("k"))
+    got = sorted((r.k, r.place) for r in numbered(rows, ["k"], "place").collect())
+    assert [p for _, p in got] == list(range(1, 501)) and numbered(rows.limit(0), ["k"]).count() == 0
+
+
 def test_cache_and_provider(spark):
     links = spark.createDataFrame([(1, i, f"https://h/{'course' if i % 2 else 'x'}/{i}", f"CS10{i} notes" if i == 3 else "text") for i in range(10)] + [(1, 10, "https://H/x/0", "dup"), (1, 11, "https://h/home", "Home")], "page_id long, pos int, url string, text string")
     known = spark.createDataFrame([("https://h/x/2", False, True, True, 0.9, "known")], CACHE)
