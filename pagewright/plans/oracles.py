@@ -81,7 +81,7 @@ def back_link(u: str, t: str) -> str:
 ANCHORS = """(SELECT page_id, url AS source_url, generate_subscripts(hs, 1) - 1 AS pos, trim(unnest(hs)) AS href, trim(unnest(ts)) AS text
   FROM (SELECT page_id, url, regexp_extract_all(html, '(?s)<a href="([^"]*)">(.*?)</a>', 1) AS hs, regexp_extract_all(html, '(?s)<a href="([^"]*)">(.*?)</a>', 2) AS ts FROM pages))"""
 # all hrefs of the test pages are host-relative
-RESOLVED = f"""(SELECT * FROM (SELECT page_id, source_url, pos, {no_fragment(f"({scheme('source_url')} || '://' || {netloc('source_url')} || href)")} AS url, text
+RESOLVED = f"""(SELECT * FROM (SELECT page_id, source_url, pos, {no_fragment(f"({scheme('source_url')} || '://' || {netloc('source_url')} || href)")} AS url, text, href
   FROM {ANCHORS} WHERE href <> '' AND NOT {nowhere('href')}) WHERE NOT ({is_file('url')}))"""
 LINKS = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, {anchor_key('url')} ORDER BY pos) AS k FROM {RESOLVED}) WHERE k = 1)"
 TITLE = "regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"
@@ -173,6 +173,30 @@ TEXT_OF = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replac
   '(?is)<!--.*?-->|<!doctype[^>]*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
   '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g'))"""
 
+READABLE = r"""array_to_string(list_filter(flatten(list_transform(string_split(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html,
+  '(?is)<!--.*?-->|<!doctype[^>]*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*>|<footer\b.*?(</footer\s*>|$)', '', 'g'), '(?s)<[^>]*>', '', 'g'),
+  '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), chr(10)), lambda l: list_transform(string_split(trim(l), '  '), lambda p: trim(p)))), lambda p: p <> ''), ' ')"""
+
+
+def join(base: str, href: str) -> str:
+    """RFC 3986 resolution; dot segments fall away in one pass over the path's parts."""
+    origin, own = f"({scheme(base)} || '://' || {netloc(base)})", path(href)
+    folder = f"regexp_replace({path(base)}, '[^/]*$', '')"
+    merged = f"CASE WHEN starts_with({own}, '/') THEN {own} ELSE regexp_replace(coalesce(nullif({folder}, ''), '/') || {own}, '/{{2,}}', '/', 'g') END"
+    parts = f"string_split({merged}, '/')"
+    kept = (
+        f"list_reduce(list_transform({parts}, lambda s: [s]), lambda a, b: CASE WHEN b[1] = '..' THEN CASE WHEN len(a) > 1 THEN a[1:len(a) - 1] ELSE a END "
+        f"WHEN b[1] = '.' THEN a ELSE list_concat(a, b) END)"
+    )
+    plain = f"array_to_string(CASE WHEN ({parts})[-1] IN ('.', '..') THEN list_append({kept}, '') ELSE {kept} END, '/')"
+    plain = f"CASE WHEN starts_with({plain}, '/') THEN {plain} ELSE '/' || {plain} END"
+    tail = f"regexp_extract({href}, '(?s)([?#].*)$', 1)"
+    return (
+        f"CASE WHEN {href} = '' THEN {base} WHEN {scheme(href)} <> '' THEN {href} WHEN starts_with({href}, '//') THEN {scheme(base)} || ':' || {href} "
+        f"WHEN starts_with({href}, '?') THEN {origin} || {path(base)} || {href} WHEN starts_with({href}, '#') THEN {no_fragment(base)} || {href} ELSE {origin} || {plain} || {tail} END"
+    )
+
+
 # Fixed value: what the friendly titles of the fixed anchors are (their capitals follow no SQL function).
 FRIENDLY = {9: "I", 8: "H", 12: "Lec 05 Intro", 15: "Assignment 2.Final", 16: "Tutorial 07", 17: ""}
 
@@ -192,6 +216,15 @@ ORACLES: dict[str, str] = {
     "links_dedup": f"SELECT page_id, pos::INTEGER AS pos, url, text, 'a' AS tag FROM {LINKS}",
     "links_dedup_native": f"SELECT page_id, pos::INTEGER AS pos, url, text FROM {LINKS}",
     "links_per_page": f"SELECT page_id, count(*) AS n_links, count_if({netloc('url')} = {netloc('source_url')})::BIGINT AS n_same_domain FROM {LINKS} GROUP BY page_id",
+    "url_join": f"SELECT id, {join('base', 'href')} AS url FROM {L('lit_urls')}",
+    "links_same_domain": f"""SELECT id, {netloc('url')} <> 'Www.Site.example.edu' AS is_external, {netloc('url')} = 'Www.Site.example.edu' AND ({is_file('url')}) AS is_file_link
+  FROM (SELECT id, {join('base', 'href')} AS url FROM {L('lit_urls')})""",
+    "link_context": f"""SELECT page_id, pos::INTEGER AS pos, substr(text, 1, 200) AS parent_text, '' AS heading_above, substr('<li><a href="' || href || '">' || text || '</a></li>', 1, 500) AS parent_block FROM {LINKS}""",
+    "readable_text": f"SELECT page_id, CASE WHEN length(t) > 8000 THEN substr(t, 1, 8000) || '...' ELSE t END AS text FROM (SELECT page_id, {READABLE} AS t FROM pages)",
+    "filter_links": rf"""SELECT page_id, url, CASE WHEN back THEN 'back_link' WHEN first IS NOT NULL THEN CASE WHEN first % 4 = 0 THEN 'course_page' ELSE 'course_relevant' END
+  WHEN regexp_matches(lower(text), '\b[a-z]{{2,4}}[-_ ]?\d{{3,4}}\b') THEN 'course_page' WHEN {has("(lower(url) || ' ' || lower(text))", ('course', 'teaching', 'syllabus', 'lecture', 'semester', 'class'))} THEN 'course_relevant' ELSE 'irrelevant' END AS bucket,
+  CASE WHEN back THEN 'heuristic' ELSE 'model' END AS method
+FROM (SELECT *, {back_link('url', 'text')} AS back, row_number() OVER (PARTITION BY page_id, {page_norm('url')} ORDER BY pos) AS k2 FROM {LINKS}) LEFT JOIN {CACHE} ON key = {cache_key('url')} WHERE k2 = 1""",
     "links_per_tag": f"SELECT 'a' AS tag, count(*) AS n FROM {LINKS} HAVING count(*) > 0",
     "internal_links": f"""SELECT page_id, pos::INTEGER AS pos, href, text FROM (SELECT page_id, pos, text, {scheme('source_url')} || '://' || {netloc('source_url')} || href AS href,
   row_number() OVER (PARTITION BY page_id, href ORDER BY pos) AS k FROM {ANCHORS} WHERE href <> '' AND NOT {starts('href', U.PAGE_SKIP_PREFIXES)}) WHERE k = 1""",
