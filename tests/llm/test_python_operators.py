@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import html
 import io
 import random
+import re
 import struct
 import zipfile
 
@@ -18,8 +20,8 @@ PAGES = "page_id long, url string, html string, payload string, refers_to string
 
 
 def test_warc_round_trip(spark):
-    html = ["<p>é</p>", "<p>é</p>", "", None, "x" * 300_000, "<p>é</p>", "a\r\n\r\nb", "\n"]
-    rows = [(i + 3, f"https://h/{i} x", h, None, "", "") for i, h in enumerate(html)] + [(3, "again", html[0], "", "", ""), (None, None, html[0], "", "", ""), (None, "n", "alone", "", "", "")]
+    bodies = ["<p>é</p>", "<p>é</p>", "", None, "x" * 300_000, "<p>é</p>", "a\r\n\r\nb", "\n"]
+    rows = [(i + 3, f"https://h/{i} x", h, None, "", "") for i, h in enumerate(bodies)] + [(3, "again", bodies[0], "", "", ""), (None, None, bodies[0], "", "", ""), (None, "n", "alone", "", "", "")]
     pages = spark.createDataFrame(rows, PAGES)
     path = warc.scratch.path(spark, "test-warc")
     warc.write(pages, path, archive_bytes=1000)
@@ -126,6 +128,13 @@ def test_main_text():
     assert html_text.main_text(plain).startswith("Head A long") and html_text.main_text(plain).endswith("as well.") and " short " in html_text.main_text(plain)
 
 
+def test_main_text_is_the_article_of_the_pages(spark):
+    for row in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
+        article = re.search(r"<article>(.*?)</article>", row.html, re.DOTALL).group(1)
+        article = re.sub(r"</?b>", "", re.sub(r"</?(p|h1|br)>", " ", article))
+        assert html_text.main_text(row.html) == " ".join(html.unescape(article).split())
+
+
 def test_main_text_of_pages(spark):
     rows = spark.createDataFrame([(1, "u", FURNITURE, "", "", ""), (None, None, None, None, None, None), (1, "u", FURNITURE, "", "", "")], PAGES)
     got = html_text.extract(rows).collect()
