@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pagewright.config import DEFAULT, Settings
 from pagewright.functions import classify as C
 from pagewright.functions import url as U
-from pagewright.operators.dedup import first_wins
+from pagewright.operators.dedup import first_in_page, first_wins
 
 RECORD = ["is_back_link", "is_course_page", "is_course_relevant", "confidence", "reasoning"]
 
@@ -67,7 +67,7 @@ def ask(links: DataFrame, provider, settings: Settings = DEFAULT, by: tuple = ("
 
 def filter_links(links: DataFrame, cache: DataFrame, provider, settings: Settings = DEFAULT, use_heuristics: bool = True) -> tuple[DataFrame, DataFrame]:
     """unique links of each page by page-norm, in their bucket, and the statistics (A3)."""
-    unique = first_wins(links.select("page_id", "pos", "url", "text"), ["page_id", U.page_norm(F.col("url"))], ["pos"])
+    unique = first_in_page(links.select("page_id", "pos", "url", "text"), [U.page_norm(F.col("url"))], ["pos"])
     back = C.is_back_link(F.col("url"), F.col("text")) if use_heuristics else F.lit(False)
     split = unique.withColumn("is_back", back)
     rest = split.where(~F.col("is_back")).drop("is_back")

@@ -19,10 +19,15 @@ def first_wins(rows: DataFrame, keys: list[str | Column], order: list[str]) -> D
     return rows.withColumns(named).groupBy(*named).agg(least).select("_row.*")
 
 
-def first_by_window(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The same by a window, for ties that have to be seen in the plan (each key in one task)."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("_place", place).where("_place = 1").drop("_place")
+def first_in_page(rows: DataFrame, keys: list[str | Column], order: list[str]) -> DataFrame:
+    """The same within each page, where a key's rows are a page's links at most.
+
+    Rows are dealt by page alone: what follows by page (counts, batches, numbers) needs no other
+    shuffle, and columns that nobody reads are pruned before it.
+    """
+    named = {f"_key{i}": F.col(k) if isinstance(k, str) else k for i, k in enumerate(keys)}
+    place = F.row_number().over(Window.partitionBy("page_id", *named).orderBy(*order))
+    return rows.repartition("page_id").withColumns(named).withColumn("_place", place).where("_place = 1").drop("_place", *named)
 
 
 def bucket_dedup(links: DataFrame, order: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import html
 from pagewright.functions import url as U
-from pagewright.operators.dedup import first_wins
+from pagewright.operators.dedup import first_in_page
 
 
 def anchors(pages: DataFrame, context: bool = False) -> DataFrame:
@@ -25,13 +25,13 @@ def resolved(rows: DataFrame) -> DataFrame:
 
 def page_links(pages: DataFrame, context: bool = False) -> DataFrame:
     """L1: the anchors of each page by rules 1 to 8, with ``tag`` = a."""
-    return first_wins(resolved(anchors(pages, context)), ["page_id", U.anchor_key(F.col("url"))], ["pos"]).withColumn("tag", F.lit("a"))
+    return first_in_page(resolved(anchors(pages, context)), [U.anchor_key(F.col("url"))], ["pos"]).withColumn("tag", F.lit("a"))
 
 
 def page_links_native(pages: DataFrame) -> DataFrame:
     """L1 for regular html, all in the JVM."""
     rows = html.anchors_native(pages).withColumnRenamed("url", "source_url").where("href <> ''")
-    return first_wins(resolved(rows), ["page_id", U.anchor_key(F.col("url"))], ["pos"])
+    return first_in_page(resolved(rows), [U.anchor_key(F.col("url"))], ["pos"])
 
 
 def resource_links(pages: DataFrame) -> DataFrame:
@@ -41,20 +41,20 @@ def resource_links(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("url", U.join(F.col("source_url"), F.col("href")))
     taken = both.select("page_id", "source_url", F.explode("parsed.anchors").alias("a")).select("page_id", "source_url", "a.pos", "a.href").where("href <> ''")
     taken = resolved(taken).select("page_id", F.explode(F.array("url", U.https(F.col("url")))).alias("url")).distinct()
-    return first_wins(rows.join(taken, ["page_id", "url"], "left_anti"), ["page_id", "url"], ["tag_order", "pos"])
+    return first_in_page(rows.join(taken, ["page_id", "url"], "left_anti"), ["url"], ["tag_order", "pos"])
 
 
 def page_files(pages: DataFrame) -> DataFrame:
     """Downloadable files of each page, first of equals: ``page_id, pos, href, text``."""
     rows = anchors(pages).withColumn("href", U.join(F.col("source_url"), F.col("href"))).where(U.is_course_file(F.col("href")))
-    return first_wins(rows, ["page_id", "href"], ["pos"]).select("page_id", "pos", "href", F.col("text_spaced").alias("text"))
+    return first_in_page(rows, ["href"], ["pos"]).select("page_id", "pos", "href", F.col("text_spaced").alias("text"))
 
 
 def internal_links(pages: DataFrame) -> DataFrame:
     """Links within the page's host; fragments and files stay."""
     rows = anchors(pages).where(~U.page_skips(F.col("href"))).withColumn("href", U.join(F.col("source_url"), F.col("href")))
     rows = rows.where(U.scheme(F.col("href")).isin("http", "https") & U.same_domain(F.col("href"), U.netloc(F.col("source_url"))))
-    return first_wins(rows, ["page_id", "href"], ["pos"]).select("page_id", "pos", "href", F.col("text_spaced").alias("text"))
+    return first_in_page(rows, ["href"], ["pos"]).select("page_id", "pos", "href", F.col("text_spaced").alias("text"))
 
 
 def with_site(links: DataFrame, domain) -> DataFrame:

@@ -40,7 +40,8 @@ def test_first_wins_does_not_depend_on_partitions(spark):
     rows = spark.range(1000).select((F.col("id") % 7).alias("k"), (F.lit(1000) - F.col("id")).alias("o"), F.col("id").alias("v"))
     got = {tuple(sorted(map(tuple, dedup.first_wins(rows.repartition(n), ["k"], ["o"]).collect()))) for n in (1, 3, 8)}
     assert len(got) == 1 and all(v >= 993 for _, _, v in got.pop())
-    assert dedup.first_by_window(rows, ["k"], ["o"]).count() == 7
+    by_page = dedup.first_in_page(rows.withColumn("page_id", F.col("v") % 2), ["k"], ["o"])
+    assert by_page.columns == ["k", "o", "v", "page_id"] and by_page.count() == 14
 
 
 def test_numbering_is_global(spark):
