@@ -21,7 +21,7 @@ from, N and V are 0 and words are scored by the vocabulary's own weights; charac
 vocabulary lacks are spelled in bytes; other columns are passed over. Texts are never cut.
 
 Scale: words are counted map-side first; all distinct words stay in a distributed table. The
-``TOP`` most frequent are sent to the workers (a bound on size, not on what is counted); every
+most frequent, at most ``TOP``, are sent to the workers (a bound on size, not on what is counted); every
 other word is looked up exactly, by a join on the word, so a text is one row and a row for each of
 its rarer words. Hot words are never keys of that join.
 """
@@ -78,63 +78,110 @@ def byte_piece(byte: int) -> str:
 
 
 class Lattice:
-    """Forward and backward sums over the segmentations of words."""
+    """Forward and backward sums over the segmentations of words.
+
+    The recursion is in log space; where its sums cannot underflow (``SAFE``, most words) the same
+    recursion is done on the numbers themselves, which saves the logarithms.
+    """
+
+    SAFE = 1e-250
 
     def __init__(self, logs: dict[str, float]):
         self.logs = logs
-        self.longest = max(map(len, logs), default=1)
-        self.chars = {p for p in logs if len(p) == 1}
-
-    def edges(self, word: str) -> list[list[tuple[int, float, str | None]]]:
-        """For each position the pieces that end there: (start, log weight, piece)."""
-        logs, longest = self.logs, self.longest
-        out: list[list[tuple[int, float, str | None]]] = [[]]
-        for end in range(1, len(word) + 1):
-            here = []
-            for start in range(max(0, end - longest), end):
-                piece = word[start:end]
-                weight = logs.get(piece)
-                if weight is not None:
-                    here.append((start, weight, piece))
-            if word[end - 1] not in self.chars:
-                here.append((end - 1, sum(logs[byte_piece(b)] for b in word[end - 1].encode()), None))
-            out.append(here)
+        self.trie: dict = {}
+        for piece, weight in logs.items():
+            node = self.trie
+            for ch in piece:
+                node = node.setdefault(ch, {})
+            node[""] = (math.exp(weight), weight, piece)
+
+    def edges(self, text: str) -> list[tuple[int, int, float, float, str | None]]:
+        """``(start, end, weight, log weight, piece)`` of all pieces in the text, by start; no piece: spelled in bytes."""
+        out, n = [], len(text)
+        for start in range(n):
+            node, end = self.trie.get(text[start]), start + 1
+            if node is None or "" not in node:
+                log = sum(self.logs[byte_piece(b)] for b in text[start].encode())
+                out.append((start, end, math.exp(log), log, None))
+            while node is not None:
+                found = node.get("")
+                if found is not None:
+                    out.append((start, end, *found))
+                if end == n:
+                    break
+                node = node.get(text[end])
+                end += 1
         return out
 
-    def forward(self, edges: list) -> list[float]:
-        total = [0.0]
-        for here in edges[1:]:
-            terms = [total[start] + weight for start, weight, _ in here]
-            top = max(terms)
-            total.append(top if len(terms) == 1 else top + math.log(sum([math.exp(t - top) for t in terms])))
+    @staticmethod
+    def forward(edges: list, n: int) -> list[float]:
+        """Log sums of the ways to each position."""
+        terms: list[list[float]] = [[] for _ in range(n + 1)]
+        terms[0].append(0.0)
+        total, done = [0.0] * (n + 1), 0
+        for start, end, _, log, _ in edges:
+            while done <= start:
+                total[done] = log_sum(terms[done])
+                done += 1
+            terms[end].append(total[start] + log)
+        while done <= n:
+            total[done] = log_sum(terms[done])
+            done += 1
         return total
 
     def log10(self, word: str) -> float:
         """log10 of the word's probability, summed over its segmentations."""
-        return self.forward(self.edges(MARK + word))[-1] / math.log(10)
+        text = MARK + word
+        n, edges = len(text), self.edges(text)
+        ways = [0.0] * (n + 1)
+        ways[0] = 1.0
+        for start, end, weight, _, _ in edges:
+            ways[end] += ways[start] * weight
+        if ways[n] > self.SAFE:
+            return math.log10(ways[n])
+        return self.forward(edges, n)[n] / math.log(10)
 
     def expect(self, word: str, times: float, into: dict[str, float]) -> None:
         """Add the expected number of each piece in ``times`` occurrences of the word."""
         text = MARK + word
-        edges = self.edges(text)
-        ahead = self.forward(edges)
-        n = len(text)
-        behind = [-math.inf] * n + [0.0]
-        for end in range(n, 0, -1):
-            b = behind[end]
-            if b == -math.inf:
-                continue
-            for start, weight, piece in edges[end]:
-                through = weight + b
-                old = behind[start]
-                if old == -math.inf:
-                    behind[start] = through
+        n, edges = len(text), self.edges(text)
+        ahead, behind = [0.0] * (n + 1), [0.0] * (n + 1)
+        ahead[0] = behind[n] = 1.0
+        for start, end, weight, _, _ in edges:
+            ahead[end] += ahead[start] * weight
+        if ahead[n] > self.SAFE:
+            part = times / ahead[n]
+            for start, end, weight, _, piece in reversed(edges):
+                through = weight * behind[end]
+                behind[start] += through
+                share = part * ahead[start] * through
+                if piece is not None:
+                    into[piece] = into.get(piece, 0.0) + share
                 else:
-                    high, low = (old, through) if old > through else (through, old)
-                    behind[start] = high + math.log1p(math.exp(low - high))
-                share = times * math.exp(ahead[start] + through - ahead[n])
-                for p in (piece,) if piece is not None else map(byte_piece, text[end - 1].encode()):
-                    into[p] = into.get(p, 0.0) + share
+                    self._spell(text[start], share, into)
+            return
+        logs = self.forward(edges, n)
+        terms: list[list[float]] = [[] for _ in range(n)] + [[0.0]]
+        for start, end, _, log, piece in sorted(edges, key=lambda e: -e[1]):
+            if len(terms[end]) > 1:
+                terms[end] = [log_sum(terms[end])]
+            through = log + terms[end][0]
+            terms[start].append(through)
+            share = times * math.exp(logs[start] + through - logs[n])
+            if piece is not None:
+                into[piece] = into.get(piece, 0.0) + share
+            else:
+                self._spell(text[start], share, into)
+
+    @staticmethod
+    def _spell(ch: str, share: float, into: dict[str, float]) -> None:
+        for byte in ch.encode():
+            into[byte_piece(byte)] = into.get(byte_piece(byte), 0.0) + share
+
+
+def log_sum(terms: list[float]) -> float:
+    top = max(terms)
+    return top if len(terms) == 1 else top + math.log(sum([math.exp(t - top) for t in terms]))
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -196,6 +243,20 @@ def fitted(counts: DataFrame, logs: dict[str, float]) -> dict[str, float]:
     return {piece: math.log((found.get(piece, 0.0) + PRIOR) / total) for piece in logs}
 
 
+def _most_frequent(counts: DataFrame, top: int) -> DataFrame:
+    """The words above the least count that at most ``top`` words reach; counts are told apart by eighths of their powers of two.
+
+    A histogram of a few hundred rows finds the limit, so that no task sorts or gathers candidates.
+    """
+    level = F.floor(F.log2("c") * 8)
+    held, least = 0, math.inf
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        if held + row["count"] > top:
+            break
+        held, least = held + row["count"], row["level"]
+    return counts.where(level >= F.lit(least))
+
+
 def score(docs: DataFrame, model_path: str, mod: int = 7, held_out: int = 2, top: int = TOP) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
     spark = docs.sparkSession
@@ -209,7 +270,7 @@ def score(docs: DataFrame, model_path: str, mod: int = 7, held_out: int = 2, top
     bottom = n_train + n_kinds + 1
     logs = fitted(counts, vocabulary(model_path))
     counts = scratch.table(with_lattice(counts, logs), "lm-words")
-    head = counts.orderBy(F.desc("c"), "word").limit(top).toArrow()
+    head = _most_frequent(counts, top).toArrow()
     sent = spark.sparkContext.broadcast(tuple(head[c].to_pylist() for c in ("word", "c", "lattice")))
     sent_logs = spark.sparkContext.broadcast(logs)
     kind = docs.schema["doc_id"].dataType.simpleString()
