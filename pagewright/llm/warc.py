@@ -39,6 +39,7 @@ from collections.abc import Iterable, Iterator
 from hashlib import sha1
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,8 +140,6 @@ class Ranges:
             self.file = open("/" + path.removeprefix("file:").lstrip("/"), "rb")  # noqa: SIM115
             self.size = self.file.seek(0, io.SEEK_END)
         else:
-            from pyarrow import fs
-
             store, inside = fs.FileSystem.from_uri(path)
             self.file = store.open_input_file(inside)
             self.size = self.file.size()
@@ -259,11 +258,9 @@ def _opens_by_range(path: str) -> bool:
     if path.startswith(("file:", "/")):
         return True
     try:
-        from pyarrow import fs
-
         fs.FileSystem.from_uri(path)
         return True
-    except Exception:  # a scheme that pyarrow does not know, or whose library is not there
+    except (pa.ArrowException, OSError):  # a scheme that pyarrow does not know, or whose native library is not there
         return False
 
 
