@@ -309,7 +309,7 @@ def verify_decision(spark, sf_dir):
 
 @query
 def crawl_levels(spark, sf_dir):
-    rows = read(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_quantity > 45")
+    rows = read(spark, sf_dir, "lineitem")
     there = rows.select(F.concat(F.lit("s"), F.col("l_suppkey")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey")).alias("dst"))
     edges = there.unionByName(there.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return crawl.levels(edges, spark.createDataFrame([("s1",)], "node string"), 2)
