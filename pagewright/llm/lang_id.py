@@ -7,17 +7,17 @@ in the next shorter one (PPM's method C; T: times the context was seen, D: its d
 down to a uniform order -1. Statistics are frozen after learning, so a text's code length is exact,
 and the language with the shortest code is predicted.
 
-For speed the trees are laid over each other as one automaton: a state is the longest known suffix
-of what was read, and a table holds each state's successor and cost in every language for every
-symbol. Texts are scored whole: they are cut into runs that are read side by side, each after the
+For speed the trees of up to ``TOGETHER`` languages are laid over each other as one automaton: a state
+is the longest known suffix of what was read, and the symbols seen there have their successor and cost
+in every language; others are looked for in the next shorter state, after the escape. Texts are scored whole: they are cut into runs that are read side by side, each after the
 ``ORDER`` symbols before it, which is all that a state depends on; so the sum is that of one pass.
 
 Symbols are bytes, with A-Z lower-cased, runs of ASCII that is no letter as one separator, and bytes
 that learning never met as one more.
 
 Learning: from ``text`` and non-null ``lang`` of the rows given, by a sample bounded by
-``DOCS_PER_LANG`` whole documents a language (those with the least hash of doc_id) and ``MAX_LANGS``
-languages (the most frequent). Contexts are bounded by ``MAX_STATES`` (the most frequent).
+``DOCS_PER_LANG`` whole documents a language (those with the least hash of doc_id). Every language,
+and every context and symbol of the sampled documents, is kept.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter (of any script), or if
 nothing could be learned; a tie goes to the first language in code-point order; rows without a
@@ -25,8 +25,9 @@ doc_id count as crc32 of the empty string and are not held out; repeated rows ea
 columns are passed over. The score is the posterior probability of the predicted language for
 ``WINDOW`` symbols at the text's mean code lengths (all of a shorter text).
 
-Scale: one narrow aggregate, one bounded sample, one count, then scoring without a shuffle. The
-model is of bounded size and sent with the tasks.
+Scale: one narrow aggregate (its row a language is broadcast), one bounded sample, one count, then
+scoring without a shuffle. The model grows with the sample, so with languages but not with rows, and
+is sent with the tasks; scoring takes a pass for every ``TOGETHER`` languages.
 """
 
 from __future__ import annotations
@@ -42,12 +43,13 @@ from pyspark.sql import functions as F
 
 ORDER = 4
 DOCS_PER_LANG = 1000
-MAX_LANGS = 64
-MAX_STATES = 12_000
-MIN_COUNT = 2
+#: Languages whose trees share an automaton.
+TOGETHER = 8
 WINDOW = 64
 RUN = 1024
 SEPARATOR = 0x20
+#: Odd factor that spreads keys over a table of hashes.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Characters that are scored side by side.
 PART = 4 << 20
 
@@ -69,13 +71,9 @@ def has_letter(text: bytes) -> bool:
 
 
 def _sample(train: DataFrame) -> DataFrame:
-    """At most ``DOCS_PER_LANG`` rows ``(lang, text)`` of each of the most frequent languages."""
-    spark = train.sparkSession
+    """At most ``DOCS_PER_LANG`` rows ``(lang, text)`` of each language."""
     rows = train.where("lang is not null and text is not null")
-    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not langs:
-        return rows.select("lang", "text").limit(0)
-    share = spark.createDataFrame([(r["lang"], min(1.0, 1.5 * DOCS_PER_LANG / r["count"])) for r in langs], "of string, share double")
+    share = rows.groupBy(F.col("lang").alias("of")).agg(F.least(F.lit(1.0), F.lit(1.5 * DOCS_PER_LANG) / F.count("*")).alias("share"))
     hashed = rows.select("lang", "text", F.xxhash64("doc_id").alias("hash"))
     unit = F.pmod(F.col("hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     near = hashed.join(F.broadcast(share), F.col("lang") == F.col("of")).where(unit <= F.col("share"))
@@ -104,77 +102,157 @@ def _gram_counts(sample: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts)], names=["lang", "gram", "n"])
 
     counted = sample.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(run, "lang string, gram long, n long")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 @dataclass
-class Model:
-    """Frozen statistics. ``after[state * S + symbol]``: next state; ``bits``: cost in each language there."""
+class Automaton:
+    """Frozen statistics of a few languages, of what was seen only.
 
-    langs: list[str]
-    symbols: bytes  # byte to symbol
-    size: int  # number of symbols
+    A state is a context, ``entry`` a pair of state and symbol: its cost in each language and its next
+    state. A pair without an entry costs ``escape`` and is looked for in the ``shorter`` state; the root
+    has every symbol. Entries are found by ``state * size + symbol`` in an open table of hashes.
+    """
+
+    size: int
+    shorter: np.ndarray
+    escape: np.ndarray
     after: np.ndarray
     bits: np.ndarray
+    keys: np.ndarray
+    entries: np.ndarray
     root: int
     start: int
 
+    def slots(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * SPREAD) >> np.uint64(65 - len(self.keys).bit_length())).astype(np.int64)
+
+    def put(self, key: np.ndarray) -> None:
+        left, slot = np.arange(len(key)), self.slots(key)
+        while len(left):
+            free = self.keys[slot] < 0
+            self.entries[slot[free]] = left[free]
+            self.keys[slot[free]] = key[self.entries[slot[free]]]
+            out = self.entries[slot] != left
+            left, slot = left[out], (slot[out] + 1) & (len(self.keys) - 1)
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """Entries of the keys, -1 where there is none."""
+        slot = self.slots(key)
+        there = self.keys[slot]
+        other = np.flatnonzero((there != key) & (there >= 0))
+        while len(other):
+            slot[other] = (slot[other] + 1) & (len(self.keys) - 1)
+            there[other] = self.keys[slot[other]]
+            other = other[(there[other] != key[other]) & (there[other] >= 0)]
+        return np.where(there == key, self.entries[slot], -1)
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cost in each language, and next states."""
+        entry = self.find(state * self.size + symbol)
+        lost = np.flatnonzero(entry < 0)
+        here, escapes = state[lost], []
+        while len(lost):
+            escapes.append((lost, self.escape[here]))
+            here = self.shorter[here]
+            found = self.find(here * self.size + symbol[lost])
+            entry[lost] = found
+            lost, here = lost[found < 0], here[found < 0]
+        cost = self.bits[entry]
+        for at, paid in escapes:
+            cost[at] += paid
+        return cost, self.after[entry]
+
+
+@dataclass
+class Model:
+    """Automata of up to ``TOGETHER`` languages each, in the order of ``langs``."""
+
+    langs: list[str]
+    symbols: bytes  # byte to symbol
+    size: int  # number of symbols
+    automata: list[Automaton]
+
+
+def _automaton(lang: np.ndarray, gram: np.ndarray, n: np.ndarray, kinds: int, size: int, space: int) -> Automaton:
+    """The automaton of ``kinds`` languages' trees, from counts of grams of symbols, eight bits each."""
+    start = sum(space << 8 * i for i in range(ORDER))
+    low = [(1 << 8 * j) - 1 for j in range(ORDER + 2)]
+    seen = []  # for each length of context: language, context and symbol, count
+    for j in range(ORDER + 1):
+        pair, which = np.unique(lang << 40 | gram & low[j + 1], return_inverse=True)
+        seen.append((pair >> 40, pair & low[5], np.bincount(which, n)))
+
+    states: list[np.ndarray] = [np.zeros(1, dtype=np.int64)] * (ORDER + 1)
+    longer = np.array([start], dtype=np.int64)
+    for j in range(ORDER, 0, -1):  # a state's every part is a state, else the longest suffix is not found
+        states[j] = np.unique(np.concatenate([longer, seen[j][1] >> 8]))
+        longer = np.concatenate([states[j] >> 8, states[j] & low[j - 1]])
+    first = np.cumsum([0] + [len(s) for s in states])
+    index = lambda j, context: first[j] + np.searchsorted(states[j], context)
+    shorter = np.concatenate([np.full(1, -1)] + [index(j - 1, states[j] & low[j - 1]) for j in range(1, ORDER + 1)])
+
+    escape = np.zeros((first[-1], kinds))
+    keys, after, bits = [], [], []
+    for j, (owner, pair, count) in enumerate(seen):
+        context, which, distinct = np.unique(owner << 40 | pair >> 8, return_inverse=True, return_counts=True)
+        times = np.bincount(which, count)
+        escape[index(j, context & low[4]), context >> 40] = -np.log2(distinct / (times + distinct))
+        found = np.unique(np.concatenate([pair, states[j + 1] if j < ORDER else pair])) if j else np.arange(size)
+        at = index(j, found >> 8)
+        if j:
+            cost = escape[at] + bits[-1][np.searchsorted(last, found & low[j])]
+        else:
+            cost = escape[at] + np.log2(size)
+        cost[np.searchsorted(found, pair), owner] = -np.log2(count / (times + distinct)[which])
+        onward = np.zeros(len(found), dtype=np.int64)
+        for m in range(1, min(j + 1, ORDER) + 1):
+            tail = found & low[m]
+            place = np.minimum(np.searchsorted(states[m], tail), len(states[m]) - 1)
+            onward = np.where(states[m][place] == tail, first[m] + place, onward)
+        keys.append(at * size + (found & 255))
+        after.append(onward)
+        bits.append(cost)
+        last = found
+    key = np.concatenate(keys)
+    slots = 1 << (2 * len(key)).bit_length()
+    made = Automaton(size, shorter, escape, np.concatenate(after), np.concatenate(bits), np.full(slots, -1), np.full(slots, -1), 0, int(index(ORDER, start)))
+    made.put(key)
+    return made
+
+
+def _model(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
+    digits = [gram >> 8 * i & 255 for i in range(ORDER + 1)]
+    seen = sorted({int(b) for d in digits for b in np.unique(d)} | {SEPARATOR})
+    size = len(seen) + 1  # and the symbol of all other bytes
+    number = np.zeros(256, dtype=np.int64)
+    number[seen] = np.arange(size - 1)
+    symbols = bytes(int(number[FOLD[b]]) if FOLD[b] in seen else size - 1 for b in range(256))
+    gram = sum(number[d] << 8 * i for i, d in enumerate(digits))
+    automata = []
+    for low in range(0, len(langs), TOGETHER):
+        own = (lang >= low) & (lang < low + TOGETHER)
+        automata.append(_automaton(lang[own] - low, gram[own], n[own], min(TOGETHER, len(langs) - low), size, int(number[SEPARATOR])))
+    return Model(langs, symbols, size, automata)
+
 
 def build(counts: dict[str, dict[bytes, int]]) -> Model:
-    """The automaton of all languages' trees, from counts of grams of ``ORDER + 1`` bytes."""
+    """The model from counts of grams of ``ORDER + 1`` bytes."""
     langs = sorted(counts)
-    seen = sorted({b for grams in counts.values() for g in grams for b in g} | {SEPARATOR})
-    size = len(seen) + 1  # and the symbol of all other bytes
-    number = {b: i for i, b in enumerate(seen)}
-    symbols = bytes(number.get(FOLD[b], size - 1) for b in range(256))
-
-    trees: list[dict[bytes, dict[int, int]]] = []
-    total: dict[bytes, int] = {}
-    for lang in langs:
-        tree: dict[bytes, dict[int, int]] = {}
-        for gram, n in counts[lang].items():
-            symbol = number[gram[-1]]
-            for cut in range(ORDER + 1):
-                context = gram[cut:ORDER]
-                own = tree.setdefault(context, {})
-                own[symbol] = own.get(symbol, 0) + n
-                total[context] = total.get(context, 0) + n
-        trees.append(tree)
-    chosen = set(sorted(total, key=lambda c: (-total[c], len(c), c))[:MAX_STATES]) | {b"", bytes([SEPARATOR]) * ORDER}
-    for context in list(chosen):  # a state's every part is a state, else the longest suffix is not found
-        chosen |= {context[i:j] for i in range(len(context)) for j in range(i, len(context) + 1)}
-    states = sorted(chosen, key=lambda c: (len(c), c))
-    index = {c: i for i, c in enumerate(states)}
-
-    after = np.zeros((len(states), size), dtype=np.int32)
-    bits = np.zeros((len(states), size, len(langs)), dtype=np.float64)
-    for i, context in enumerate(states):
-        shorter = index[context[1:]] if context else -1
-        if context:
-            after[i] = after[shorter]
-        for byte, symbol in number.items():
-            longer = context + bytes([byte])
-            if longer in index:
-                after[i, symbol] = index[longer]
-        for k, tree in enumerate(trees):
-            below = bits[shorter, :, k] if context else np.full(size, np.log2(size))
-            own = tree.get(context)
-            if own is None:
-                bits[i, :, k] = below
-                continue
-            times, kinds = sum(own.values()), len(own)
-            bits[i, :, k] = below - np.log2(kinds / (times + kinds))
-            for symbol, n in own.items():
-                bits[i, symbol, k] = -np.log2(n / (times + kinds))
-    return Model(langs, symbols, size, after.ravel(), bits.reshape(-1, len(langs)), index[b""], index[bytes([SEPARATOR]) * ORDER])
+    rows = [(k, int.from_bytes(gram, "big"), n) for k, lang in enumerate(langs) for gram, n in counts[lang].items()]
+    return _model(langs, *(np.array(column, dtype=np.int64) for column in zip(*rows, strict=True)))
 
 
 def learn(train: DataFrame) -> Model | None:
     rows = _gram_counts(_sample(train)).toArrow()
-    counts: dict[str, dict[bytes, int]] = {}
-    for lang, gram, n in zip(*(rows[c].to_pylist() for c in ("lang", "gram", "n")), strict=True):
-        counts.setdefault(lang, {})[gram.to_bytes(ORDER + 1, "big")] = n
-    return build(counts) if counts else None
+    if not rows.num_rows:
+        return None
+    lang = rows["lang"].combine_chunks().dictionary_encode()
+    names = lang.dictionary.to_pylist()
+    langs = sorted(names)
+    place = {name: k for k, name in enumerate(langs)}
+    number = np.array([place[name] for name in names], dtype=np.int64)
+    return _model(langs, number[lang.indices.to_numpy()], rows["gram"].to_numpy(), rows["n"].to_numpy())
 
 
 def code_lengths(texts: list[bytes], model: Model) -> np.ndarray:
@@ -198,18 +276,17 @@ def code_lengths(texts: list[bytes], model: Model) -> np.ndarray:
     for row, k in enumerate(order):
         side[row, : len(runs[k])] = runs[k]
     side = np.ascontiguousarray(side.T)
-    state = np.where(warm == 0, model.start, model.root).astype(np.int64)
-    cost = np.zeros((len(runs), len(model.langs)))
     active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # runs longer than each step
-    for step in range(lengths[0]):
-        m = active[step]
-        at = state[:m] * model.size + side[step, :m]
-        paid = model.bits[at]
-        if step < ORDER:
-            paid[warm[:m] > step] = 0
-        cost[:m] += paid
-        state[:m] = model.after[at]
-    np.add.at(out, owner, cost)
+    for k, automaton in enumerate(model.automata):
+        state = np.where(warm == 0, automaton.start, automaton.root).astype(np.int64)
+        cost = np.zeros((len(runs), automaton.bits.shape[1]))
+        for step in range(lengths[0]):
+            m = active[step]
+            paid, state[:m] = automaton.step(state[:m], side[step, :m])
+            if step < ORDER:
+                paid[warm[:m] > step] = 0
+            cost[:m] += paid
+        np.add.at(out[:, k * TOGETHER : k * TOGETHER + cost.shape[1]], owner, cost)
     return out
 
 
