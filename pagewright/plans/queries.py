@@ -318,9 +318,8 @@ def crawl_levels(spark, sf_dir):
 @query
 def crawl_pages(spark, sf_dir):
     rows = pages(spark, sf_dir)
-    seeds = rows.where("page_id % 50 = 0").select("url")
     empty = _cached(spark, sf_dir).limit(0)
-    return crawl.crawl(rows, seeds, empty, HeuristicProvider(), DEFAULT)["links"].select("url", "bucket", "depth")
+    return crawl.crawl(rows, rows.select("url"), empty, HeuristicProvider(), DEFAULT)["links"].select("url", "bucket", "depth")
 
 
 # Page analysis
@@ -481,7 +480,7 @@ def page_materials(spark, sf_dir):
 @query
 def render_markdown(spark, sf_dir):
     index = catalog.indexed(frame(spark, "lit_groups"))
-    files = frame(spark, "lit_anchor").where("id < 11").withColumn("item_type", T.material_type(F.col("text"), F.col("url"))).where("item_type is not null")
+    files = frame(spark, "lit_anchor").withColumn("item_type", T.material_type(F.col("text"), F.col("url"))).where("item_type is not null")
     items = files.select(F.lit("course_code").alias("group_type"), F.lit("CS2").alias("group_key"), (F.col("id") % 3 + 1).alias("index"), F.col("id").alias("pos"), "item_type", F.col("text").alias("title"), F.col("text").alias("snippet"), F.col("url").alias("file_url"))
     return catalog.rendered(index, items)
 
