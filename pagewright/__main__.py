@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
         seeds = spark.createDataFrame([(args.url,)], "url string")
         known = spark.createDataFrame([], "cache_key string, is_back_link boolean, is_course_page boolean, is_course_relevant boolean, confidence double, reasoning string")
         result = crawl.crawl(tables.pages(spark, args.pages), seeds, known, HeuristicProvider(), replace(DEFAULT, max_depth=args.depth), args.verify_content)
-        sinks.buckets(result["links"], f"{args.output}/links")
+        sinks.buckets(crawl.buckets(result), f"{args.output}/links")
         sinks.json_rows(crawl.result_json(result, args.url), f"{args.output}/result")
     elif args.command == "analyze":
         rows = analyze.analyze_pages(tables.pages(spark, args.pages), HeuristicProvider())

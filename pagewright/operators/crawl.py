@@ -22,6 +22,9 @@ from pagewright.operators.dedup import bucket_dedup, first_wins
 from pagewright.providers import parse_json_ladder
 from pagewright.schemas import VERIFICATION
 
+#: Buckets of links that are judged.
+JUDGED = ("back_link", "course_page", "course_relevant", "irrelevant")
+
 
 def levels(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     """``(node, depth)`` of all nodes within ``max_depth`` steps ``(src, dst)`` of the seeds ``(node)``, at their least depth.
@@ -41,25 +44,29 @@ def levels(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
 
 
 def crawl(pages: DataFrame, seeds: DataFrame, cache: DataFrame, provider, settings: Settings = DEFAULT, verify: bool = False) -> dict[str, DataFrame]:
-    """Follow course-relevant links from the seeds ``(url)``; the result has ``links`` (by bucket, first wins), ``visited`` and ``inaccessible``.
+    """Follow course-relevant links from the seeds ``(url)``; the result has ``links`` (by bucket, first wins), ``visited`` and ``inaccessible``,
+    and the links of anchors and other tags as they were found: ``all_extracted``, ``external`` and ``files`` (with the page as
+    ``parent_folder`` and ``parent_depth``), first wins each.
 
     Pages come from a table; a url without a page, or with an ``error``, is inaccessible. Visited
     urls are compared as they are written. A page at ``max_depth`` is read but not followed.
     """
     store = pages.withColumn("known", F.lit(True))
     frontier = scratch.table(seeds.select("url").distinct().withColumn("depth", F.lit(0)), "crawl-frontier")
-    visited, found, missing = frontier, None, None
+    visited, found, missing, every = frontier, None, None, None
     domain = U.netloc(F.col("source_url"))
     for depth in range(settings.max_depth + 1):
         here = frontier.join(store, "url", "left")
         gone = here.where("known is null or html is null").select("url", F.lit("inaccessible").alias("bucket"), F.lit(depth).alias("depth"))
         read = here.where("known is not null and html is not null").select("page_id", "url", "html")
-        rows = L.with_site(L.page_links(read), domain).where("not is_external and not is_file_link")
+        extracted = scratch.table(L.with_site(L.extracted_links(read), domain).withColumn("depth", F.lit(depth)), "crawl-extracted")
+        rows = extracted.where("not is_external and not is_file_link")
         judged, _ = K.filter_links(rows.select("page_id", "pos", "url", "text"), cache, provider, settings)
         placed = judged.join(rows.select("page_id", "url", "source_url", "pos", "text", "title"), ["page_id", "url"])
         placed = scratch.table(placed.select("page_id", "pos", "url", "text", "title", "source_url", "bucket", "method", "confidence", F.lit(depth).alias("depth")), "crawl-links")
         found = placed if found is None else found.unionByName(placed)
         missing = gone if missing is None else missing.unionByName(gone)
+        every = extracted if every is None else every.unionByName(extracted)
         if depth == settings.max_depth:
             break
         onward = placed.where("bucket = 'course_relevant'").select("url").distinct()
@@ -72,7 +79,12 @@ def crawl(pages: DataFrame, seeds: DataFrame, cache: DataFrame, provider, settin
         candidates = links.where("bucket = 'course_page'")
         checked = verified(candidates, pages, provider, settings)
         links = links.where("bucket <> 'course_page'").unionByName(checked.where("action <> 'dropped'").withColumn("bucket", F.col("action")).select(*links.columns))
-    return {"links": links, "visited": visited, "inaccessible": first_wins(missing, [U.page_norm(F.col("url"))], ["depth"])}
+    unique = lambda rows: first_wins(rows, [U.page_norm(F.col("url"))], ["depth", "page_id", "pos"])
+    files = every.where("is_file_link").withColumns({"parent_folder": F.col("source_url"), "parent_depth": F.col("depth")})
+    return {
+        "links": links, "visited": visited, "inaccessible": first_wins(missing, [U.page_norm(F.col("url"))], ["depth"]),
+        "all_extracted": unique(every), "external": unique(every.where("is_external")), "files": unique(files),
+    }
 
 
 def verified(candidates: DataFrame, pages: DataFrame, provider, settings: Settings = DEFAULT) -> DataFrame:
@@ -119,10 +131,32 @@ def inaccessible(urls: DataFrame, errors: DataFrame) -> DataFrame:
     return urls.join(errors.where("error is not null"), "url").select("url", "error", F.lit("inaccessible").alias("classification"))
 
 
+def buckets(result: dict[str, DataFrame]) -> DataFrame:
+    """All lists of a crawl's result as rows with ``bucket``; a url that two sources call inaccessible is one row."""
+    out = result["links"].where("bucket <> 'inaccessible'")
+    for bucket, key in (("all_extracted", "all_extracted"), ("external", "external"), ("file", "files")):
+        out = out.unionByName(result[key].withColumn("bucket", F.lit(bucket)), allowMissingColumns=True)
+    gone = result["inaccessible"].unionByName(result["links"].where("bucket = 'inaccessible'"), allowMissingColumns=True)
+    return out.unionByName(first_wins(gone, [U.page_norm(F.col("url"))], ["depth", "page_id", "pos"]), allowMissingColumns=True)
+
+
 def result_json(result: dict[str, DataFrame], base_url: str) -> DataFrame:
     """A crawl's result as one row of JSON (bounded by what one crawl of a site finds)."""
-    links = result["links"].groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("depth", "page_id", "pos", "url", "text"))).alias("rows"))
-    lists = links.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "rows"))).alias("links"))
+    rows = buckets(result)
+    row = F.struct("depth", "page_id", "pos", "url", "text", "tag", "parent_folder", "parent_depth")
+    kind = rows.select(row.alias("r")).schema["r"].dataType.simpleString()
+    listed = lambda bucket: F.sort_array(F.coalesce(F.element_at("lists", bucket), F.array().cast(f"array<{kind}>")))
+    grouped = rows.groupBy("bucket").agg(F.collect_list(row).alias("rows"))
+    lists = grouped.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "rows"))).alias("lists"))
     visited = result["visited"].agg(F.sort_array(F.collect_list("url")).alias("visited_urls"))
     both = lists.crossJoin(visited)  # a row each
-    return both.select(F.to_json(F.struct(F.lit(base_url).alias("base_url"), "visited_urls", "links")).alias("json"))
+    own = {"all_extracted_links": "all_extracted", "external_links": "external", "file_links": "file", "inaccessible_links": "inaccessible"}
+    judged = F.map_from_arrays(F.array(*map(F.lit, JUDGED)), F.array(*map(listed, JUDGED)))
+    sizes = {"external_links": "external", "course_pages": "course_page", "course_relevant": "course_relevant", "back_links": "back_link", "irrelevant": "irrelevant", "file_links": "file", "inaccessible": "inaccessible"}
+    n_all = F.size(listed("all_extracted"))
+    stats = F.struct(
+        F.size("visited_urls").alias("total_visited"), n_all.alias("total_links_extracted"), (n_all - F.size(listed("external"))).alias("same_domain_links"),
+        *[F.size(listed(bucket)).alias(name) for name, bucket in sizes.items()],
+    )
+    whole = F.struct(F.lit(base_url).alias("base_url"), "visited_urls", judged.alias("links"), *[listed(bucket).alias(name) for name, bucket in own.items()], stats.alias("stats"))
+    return both.select(F.to_json(whole).alias("json"))

@@ -44,6 +44,14 @@ def resource_links(pages: DataFrame) -> DataFrame:
     return first_in_page(rows.join(taken, ["page_id", "url"], "left_anti"), ["url"], ["tag_order", "pos"])
 
 
+def extracted_links(pages: DataFrame) -> DataFrame:
+    """The links of each page, anchors before other tags, numbered by ``pos`` in that order."""
+    columns = ["page_id", "source_url", "tag", "tag_order", "pos", "href", "text", "title", "url"]
+    both = page_links(pages).withColumn("tag_order", F.lit(-1)).select(*columns).unionByName(resource_links(pages).select(*columns))
+    place = F.row_number().over(Window.partitionBy("page_id").orderBy("tag_order", "pos")) - 1
+    return both.withColumn("pos", place).drop("tag_order")
+
+
 def page_files(pages: DataFrame) -> DataFrame:
     """Downloadable files of each page, first of equals: ``page_id, pos, href, text``."""
     rows = anchors(pages).withColumn("href", U.join(F.col("source_url"), F.col("href"))).where(U.is_course_file(F.col("href")))
