@@ -48,6 +48,8 @@ def crawl(pages: DataFrame, seeds: DataFrame, cache: DataFrame, provider, settin
     and the links of anchors and other tags as they were found: ``all_extracted``, ``external`` and ``files`` (with the page as
     ``parent_folder`` and ``parent_depth``), first wins each.
 
+    With ``verify``, course pages are verified and what their pages link to is added (M10, a level below the page that links).
+
     Pages come from a table; a url without a page, or with an ``error``, is inaccessible. Visited
     urls are compared as they are written. A page at ``max_depth`` is read but not followed.
     """
@@ -77,8 +79,12 @@ def crawl(pages: DataFrame, seeds: DataFrame, cache: DataFrame, provider, settin
     links = bucket_dedup(found, ["depth", "page_id", "pos"])
     if verify:
         candidates = links.where("bucket = 'course_page'")
-        checked = verified(candidates, pages, provider, settings)
-        links = links.where("bucket <> 'course_page'").unionByName(checked.where("action <> 'dropped'").withColumn("bucket", F.col("action")).select(*links.columns))
+        checked = scratch.table(verified(candidates, pages, provider, settings), "crawl-verified")
+        fresh = expanded(checked, pages, cache, provider, settings).withColumn("norm", U.page_norm(F.col("url")))
+        seen = candidates.select(F.lit("course_page").alias("bucket"), U.page_norm(F.col("url")).alias("norm"))  # verified once, whatever came of it
+        fresh = fresh.join(seen, ["bucket", "norm"], "left_anti").join(checked.select(F.col("url").alias("source_url"), (F.col("depth") + 1).alias("depth")), "source_url")
+        kept = links.where("bucket <> 'course_page'").unionByName(checked.where("action <> 'dropped'").withColumn("bucket", F.col("action")).select(*links.columns))
+        links = bucket_dedup(kept.unionByName(fresh.select(*links.columns)), ["depth", "page_id", "pos"])
     unique = lambda rows: first_wins(rows, [U.page_norm(F.col("url"))], ["depth", "page_id", "pos"])
     files = every.where("is_file_link").withColumns({"parent_folder": F.col("source_url"), "parent_depth": F.col("depth")})
     return {
@@ -123,7 +129,8 @@ def expanded(checked: DataFrame, pages: DataFrame, cache: DataFrame, provider, s
     sources = checked.where("action in ('course_page', 'course_relevant') and answer.has_other_course_links").select("url").distinct().join(pages, "url")
     rows = L.page_links(sources)
     judged, _ = K.filter_links(rows.select("page_id", "pos", "url", "text"), cache, provider, settings)
-    return judged.where("bucket in ('course_page', 'course_relevant')")
+    judged = judged.where("bucket in ('course_page', 'course_relevant')")
+    return judged.join(rows.select("page_id", "url", "source_url", "pos", "text", "title"), ["page_id", "url"])
 
 
 def inaccessible(urls: DataFrame, errors: DataFrame) -> DataFrame:

@@ -33,3 +33,14 @@ def test_external_and_file_links_are_kept(spark):
         "irrelevant": 0, "file_links": 3, "inaccessible": 1,
     }
     assert {r.bucket for r in crawl.buckets(result).collect()} == {"all_extracted", "external", "file", "inaccessible", "course_relevant"}
+
+
+def test_links_of_verified_pages_are_added(spark):
+    gate = '<p>no code here</p><a href="/c/2">CS202 Systems</a><a href="/teaching/z">more</a><a href="/c/1">CS101 itself</a><a href="/people">P</a>'
+    rows = [(1, "https://h/", '<a href="/c/1">CS101 Intro</a>'), (2, "https://h/c/1", gate), (3, "https://h/c/2", "<h1>CS202</h1>")]
+    plain = {(r.url, r.bucket) for r in crawled(spark, rows)["links"].collect()}
+    assert plain == {("https://h/c/1", "course_page")}
+    found = crawled(spark, rows, verify=True)["links"].collect()
+    assert sorted((r.url, r.bucket, r.depth) for r in found) == [
+        ("https://h/c/1", "course_relevant", 0), ("https://h/c/2", "course_page", 1), ("https://h/teaching/z", "course_relevant", 1),
+    ]
