@@ -17,9 +17,9 @@ block pair returns each vector's number of links and one edge a vector to what i
 inside, from which components follow.
 
 Defined results: a vector that is null, empty, zero, or holds null or non-finite components is
-linked with nothing, as is a row without a vec_id (component null) or a vector whose length differs
-from the first's; rows that repeat a vec_id are vectors of their own that share an id, so
-their counts are added; labels and other columns are not read; an empty table gives an empty result.
+linked with nothing, as is a row without a vec_id (component null); vectors of each length are
+compared among themselves, in rounds of their own; rows of a length that repeat a vec_id are vectors
+of their own that share an id, so their counts are added; labels and other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -108,18 +108,23 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
     some = F.exists("v", lambda x: x != 0)
     sound = narrow.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~bad & some)
-    first = sound.select(F.size("v").alias("n")).limit(1).collect()
-    if not first:
-        return narrow.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = first[0]["n"]
     code = "<f8" if dict(vectors.dtypes)[vector_col] == "array<double>" else "<f4"
+    unsound = F.col("vec_id").isNull() | F.col("v").isNull() | F.coalesce(bad, F.lit(True)) | ~F.coalesce(some, F.lit(False))
+    rows = narrow.where(unsound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for length in sorted(r["n"] for r in sound.select(F.size("v").alias("n")).distinct().collect()):
+        rows = rows.unionByName(_of_length(sound.where(F.size("v") == length), length, code, cosine))
+    return rows.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def _of_length(sound: DataFrame, dim: int, code: str, cosine: float) -> DataFrame:
+    """``vec_id, n_links, component_id`` of sound vectors ``(vec_id, v)`` of one length."""
 
     def pack(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(1).flatten().to_numpy().astype(code).reshape(-1, dim) + 0  # no negative zeros
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in raw], pa.binary())], names=["vec_id", "v"])
 
-    packed = sound.where(F.size("v") == dim).mapInArrow(pack, "vec_id long, v binary")
+    packed = sound.mapInArrow(pack, "vec_id long, v binary")
     packed = scratch.table(packed.withColumn("print", F.sha2("v", 256)), "embed-packed")
     classes = packed.groupBy("print").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.first("v").alias("v"))
     classes = scratch.table(classes, "embed-classes")
@@ -188,7 +193,4 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     known = classes.select("print", "id", "weight").join(counts, "id", "left").join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
     known = known.select("print", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    members = packed.select("vec_id", "print").join(scratch.table(known, "embed-known"), "print").select("vec_id", "n_links", "component_id")
-    unsound = F.col("vec_id").isNull() | F.col("v").isNull() | F.coalesce(bad, F.lit(True)) | ~F.coalesce(some, F.lit(False)) | (F.size("v") != dim)
-    rest = narrow.where(unsound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return members.unionByName(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    return packed.select("vec_id", "print").join(scratch.table(known, "embed-known"), "print").select("vec_id", "n_links", "component_id")
