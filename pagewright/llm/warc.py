@@ -1,26 +1,34 @@
 r"""WARC records in ZIP-packaged web archives: a writer, and a reader by ranges.
 
-An archive is a ZIP file whose members are *stored*: ``archive/data.warc.gz`` (each record a gzip
-member of its own) and ``indexes/index.cdxj`` (a line a record with its offset and length).
+An archive is a ZIP file whose members are *stored*: ``archive/data-*.warc.gz`` (each record a gzip
+member of its own), each followed by its ``indexes/index-*.cdxj`` (a line a record: the escaped url,
+a date, and JSON with the record's file, offset and length).
 
 Reading: the end-of-central-directory record (and its ZIP64 form) leads to the central directory,
 that to the stored members' data; indexes give each record's range in the file; ranges that lie next
-to each other are read together (up to ``READ``), and nothing is extracted. An archive without an
-index is walked through member by member of its gzip data, a range at a time. Files are opened by
-ranges where a worker can open the file system (``file:`` paths, or what pyarrow knows); where only
-Spark can, the archive's bytes come through Spark's binary file source.
-
-Writing: each task packs its rows into archives of about ``ARCHIVE`` bytes. An archive is one row of
-Spark's text writer with one row a file, so writing goes to any file system that Spark writes to and
-is committed by Spark's protocol: a task that is lost is run again and leaves no half archive. The
-line end that this writer adds is the ZIP file's one-byte comment.
+to each other are read together (up to ``READ``), and nothing is extracted. A WARC member that no
+index names is walked through record by record, gzipped or not, a range at a time. Files are opened
+by ranges where a worker can open the file system (``file:`` paths, or what pyarrow knows); where
+only Spark can, an archive's bytes come through Spark's binary file source, and archives are written
+with a single member so that one fits in memory.
+
+Writing: each task packs its rows into archives of about ``ARCHIVE`` bytes, ``MEMBER`` bytes at a
+time: a member with its index is one row of Spark's text writer, the central directory another, and
+``maxRecordsPerFile`` is their number. So writing goes to any file system that Spark writes to, a
+worker holds one member, and Spark's protocol commits the files: a task that is lost is run again and
+leaves no half archive. The line end that this writer adds after each row lies between members, which
+offsets count, and the last one is the ZIP file's one-byte comment.
 
 Of records with equal payloads of at least ``min_revisit`` bytes the one with the smallest page_id
 is a ``response``, the others are ``revisit`` records without payload that refer to it.
 
 Defined results: null html is an empty payload; a null url is written as empty; rows without a
 page_id are responses if no row of their group has one, else revisits; rows that repeat page_id and
-payload have the same type; other columns are passed over; an empty table gives no records.
+payload have the same type; other columns are passed over; an empty table gives no records. Archives
+of others: responses, resources and revisits are returned, with a null page_id where the record's id
+is none of ours; other kinds of records (warcinfo, request, metadata, ...) are passed over; a missing
+digest is computed from the payload, a wrong SHA-1 is an error; a WARC member that is not stored, or
+an index that names a member which is not there, is an error; files of no bytes are passed over.
 
 Scale: equal payloads meet as digests only (SHA-256, counted map-side first), so a payload that a
 third of all pages share is no hot key for html; html is read once and joined at most once.
@@ -32,11 +40,12 @@ import base64
 import gzip
 import io
 import json
+import re
 import struct
-import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
 from hashlib import sha1
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -45,10 +54,16 @@ from pyspark.sql import functions as F
 
 from pagewright import scratch
 
-ARCHIVE = 8 << 20
+ARCHIVE = 1 << 30
+#: Bytes of records that a worker holds, and of an archive that cannot be read by ranges.
+MEMBER = 8 << 20
 READ = 4 << 20
 DATE = "2024-01-01T00:00:00Z"
+ZIP_DATE = (2024 - 1980) << 9 | 1 << 5 | 1
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
+#: The largest size and offset that ZIP's own fields hold; larger ones go to ZIP64's.
+ZIP_MAX, ZIP_COUNT = 0xFFFFFFFE, 0xFFFE
+OWN_ID = re.compile(r"<urn:page:(-?\d+)>")
 
 
 # Writing
@@ -72,21 +87,53 @@ def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None,
     return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", compresslevel=4, mtime=0)
 
 
-def pack(records: list[tuple[str, bytes]], zip64: bool = False) -> bytes:
-    """An archive of ``(url, record)``, without the one byte of comment that the text writer adds."""
-    buffer = io.BytesIO()
+class Zip:
+    """The parts of a ZIP file of stored members, with one byte after each part that belongs to none."""
+
+    def __init__(self, zip64: bool = False):
+        self.zip64, self.offset, self.entries = zip64, 0, []
+
+    def part(self, *members: tuple[str, bytes]) -> bytes:
+        out = bytearray()
+        for name, data in members:
+            n, at, own = len(data), self.offset + len(out), name.encode()
+            wide = self.zip64 or max(n, at) > ZIP_MAX
+            version, size, crc = (45, 0xFFFFFFFF, zlib.crc32(data)) if wide else (20, n, zlib.crc32(data))
+            more = struct.pack("<HHQQ", 1, 16, n, n) if wide else b""
+            out += struct.pack("<4s5H3I2H", b"PK\x03\x04", version, 0, 0, 0, ZIP_DATE, crc, size, size, len(own), len(more)) + own + more + data
+            more = struct.pack("<HHQQQ", 1, 24, n, n, at) if wide else b""
+            entry = struct.pack("<4s6H3I5H2I", b"PK\x01\x02", version, version, 0, 0, 0, ZIP_DATE, crc, size, size, len(own), len(more), 0, 0, 0, 0, 0xFFFFFFFF if wide else at)
+            self.entries.append(entry + own + more)
+        self.offset += len(out) + 1
+        return bytes(out)
+
+    def end(self) -> bytes:
+        """The central directory and its end, without the one byte of comment that follows."""
+        directory, n, at = b"".join(self.entries), len(self.entries), self.offset
+        size = len(directory)
+        end = directory
+        if self.zip64 or max(at, size) > ZIP_MAX or n > ZIP_COUNT:
+            end += struct.pack("<4sQ2H2I4Q", b"PK\x06\x06", 44, 45, 45, 0, 0, n, n, size, at) + struct.pack("<4sIQI", b"PK\x06\x07", 0, at + size, 1)
+            n, size, at = 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFF
+        return end + struct.pack("<4s4H2IH", b"PK\x05\x06", 0, 0, n, n, size, at, 1)
+
+
+def index_lines(records: list[tuple[str, bytes]], name: str) -> bytes:
+    """The index of a member that holds the records ``(url, record)`` one after another."""
     lines, offset = [], 0
     for url, data in records:
-        entry = {"offset": str(offset), "length": str(len(data)), "filename": "data.warc.gz", "url": url}
-        lines.append(f"{url.replace(' ', '%20').split('#')[0].lower()} {DATE[:4]}0101000000 {json.dumps(entry)}\n")
+        entry = {"offset": str(offset), "length": str(len(data)), "filename": name.rsplit("/", 1)[-1], "url": url}
+        key = quote(url.split("#")[0].lower(), safe="/:?&=+,;@$'()*[]~-._%") or "-"
+        lines.append(f"{key} {DATE[:4]}0101000000 {json.dumps(entry)}\n".encode())
         offset += len(data)
-    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED) as archive:
-        archive.comment = b"\n"
-        for name, parts in ((WARC_MEMBER, [r for _, r in records]), (INDEX_MEMBER, [line.encode() for line in sorted(lines)])):
-            with archive.open(zipfile.ZipInfo(name, (2024, 1, 1, 0, 0, 0)), "w", force_zip64=zip64) as member:
-                for part in parts:
-                    member.write(part)
-    return buffer.getvalue()[:-1]
+    return b"".join(sorted(lines))
+
+
+def pack(records: list[tuple[str, bytes]], zip64: bool = False) -> bytes:
+    """An archive of one member of ``(url, record)``, without the one byte of comment that the text writer adds."""
+    archive = Zip(zip64)
+    part = archive.part((WARC_MEMBER, b"".join(r for _, r in records)), (INDEX_MEMBER, index_lines(records, WARC_MEMBER)))
+    return part + b"\n" + archive.end()
 
 
 def with_types(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
@@ -105,26 +152,40 @@ def with_types(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
 
 def write(pages: DataFrame, path: str, min_revisit: int = 0, archive_bytes: int = ARCHIVE) -> None:
     """Write a record for each row of ``page_id, url, html`` into archives under ``path``."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    member_bytes = min(MEMBER, archive_bytes)
+    members = max(1, archive_bytes // member_bytes)
+
+    def rows(parts: Iterator[list[tuple[str, bytes]]]) -> Iterator[bytes]:
+        archive = Zip()
+        for held in parts:
+            k = len(archive.entries) // 2
+            name = WARC_MEMBER.replace(".", f"-{k:05}.", 1)
+            yield archive.part((name, b"".join(r for _, r in held)), (INDEX_MEMBER.replace(".", f"-{k:05}.", 1), index_lines(held, name)))
+            if k + 1 == members:
+                yield archive.end()
+                archive = Zip()
+        if archive.entries:
+            yield archive.end()
+
+    def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[str, bytes]]]:
         held, size = [], 0
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([pack(held)], pa.binary())], names=["archive"])
-
         for batch in batches:
             for page_id, url, payload, revisit, refers_to in zip(*batch.columns, strict=True):
                 data = record(page_id.as_py(), url.as_py(), payload.as_py(), refers_to.as_py(), revisit.as_py())
                 held.append((url.as_py(), data))
                 size += len(data)
-                if size >= archive_bytes:
-                    yield out()
+                if size >= member_bytes:
+                    yield held
                     held, size = [], 0
         if held:
-            yield out()
+            yield held
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows(parts(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], names=["archive"])
 
     archives = with_types(pages, min_revisit).mapInArrow(run, "archive binary")
-    archives.select(F.col("archive").cast("string")).write.option("maxRecordsPerFile", 1).mode("overwrite").text(path)
+    archives.select(F.col("archive").cast("string")).write.option("maxRecordsPerFile", members + 1).mode("overwrite").text(path)
 
 
 # Reading
@@ -201,21 +262,31 @@ def members(file: Ranges) -> list[tuple[str, int, int, int]]:
 
 def locate(file: Ranges) -> Iterator[tuple[int, int]]:
     """``(offset, length)`` in the file of each WARC record, by the archive's indexes."""
-    stored = {name: (data, size) for name, method, data, size in members(file) if method == 0}
-    warcs = {name.rsplit("/", 1)[-1]: at for name, at in stored.items() if name.endswith((".warc.gz", ".warc"))}
+    found = members(file)
+    warcs = {}
+    for name, method, data, size in found:
+        if name.endswith((".warc.gz", ".warc")):
+            if method:
+                raise ValueError(f"{name} is not stored")
+            warcs[name.rsplit("/", 1)[-1]] = (data, size)
     indexed = set()
-    for name, (data, size) in stored.items():
-        if name.startswith("indexes/") and name.endswith((".cdxj", ".cdx.gz", ".cdxj.gz", ".cdx")):
+    for name, method, data, size in found:
+        if name.startswith("indexes/") and name.endswith((".cdxj", ".cdxj.gz")):
             lines = file.read(data, size)
+            lines = zlib.decompress(lines, -15) if method == 8 else lines
             for line in (gzip.decompress(lines) if name.endswith(".gz") else lines).decode().splitlines():
-                if "{" in line:
-                    entry = json.loads(line[line.index("{") :])
-                    base = warcs[entry["filename"].rsplit("/", 1)[-1]][0]
-                    indexed.add(entry["filename"].rsplit("/", 1)[-1])
-                    yield base + int(entry["offset"]), int(entry["length"])
+                fields = line.split(" ", 2)  # key, date, entry; keys hold no spaces
+                if len(fields) < 3 or fields[0].startswith("!"):
+                    continue
+                entry = json.loads(fields[2])
+                own = entry["filename"].rsplit("/", 1)[-1]
+                if own not in warcs:
+                    raise ValueError(f"{name} names {own}, which is not in the archive")
+                indexed.add(own)
+                yield warcs[own][0] + int(entry["offset"]), int(entry["length"])
     for name, (data, size) in warcs.items():
-        if name not in indexed and name.endswith(".gz"):
-            yield from _walk(file, data, data + size)
+        if name not in indexed:
+            yield from (_walk if name.endswith(".gz") else _walk_plain)(file, data, data + size)
 
 
 def _walk(file: Ranges, start: int, stop: int) -> Iterator[tuple[int, int]]:
@@ -230,28 +301,70 @@ def _walk(file: Ranges, start: int, stop: int) -> Iterator[tuple[int, int]]:
             if unpack.eof:
                 yield begin, at - len(data) - begin
                 begin, unpack = at - len(data), zlib.decompressobj(31)
+    if begin < stop:
+        raise EOFError(f"half a gzip member at {begin}")
+
+
+def _walk_plain(file: Ranges, start: int, stop: int) -> Iterator[tuple[int, int]]:
+    """The records between two offsets of a WARC file without compression."""
+    at = start
+    while at < stop:
+        window, head = 1 << 12, b""
+        while b"\r\n\r\n" not in head and len(head) < stop - at:
+            head = file.read(at, min(window, stop - at))
+            window *= 4
+        head, found, _ = head.partition(b"\r\n\r\n")
+        if not found:
+            raise EOFError(f"half a record at {at}")
+        length = len(head) + 4 + int(_fields(head)["content-length"])
+        yield at, length
+        at += length + 4
+
 
+def _fields(head: bytes) -> dict[str, str]:
+    """A record's or response's fields by their names in lower case."""
+    lines = (line.split(":", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:] if ":" in line)
+    return {name.strip().lower(): value.strip() for name, value in lines}
 
-def parse(data: bytes) -> dict:
-    """A record's fields and payload; its digest is checked where the payload is there."""
+
+def _own_id(text: str) -> int | None:
+    found = OWN_ID.fullmatch(text)
+    return int(found.group(1)) if found else None
+
+
+def records_in(data: bytes) -> Iterator[dict]:
+    """Fields and payload of the records that a range holds; digests are checked where the payload is there."""
     raw = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-    head, _, rest = raw.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:] if ": " in line)
-    block = rest[: int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    sizes = [line.split(b":", 1)[1] for line in http.split(b"\r\n") if line.lower().startswith(b"content-length:")]
-    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    if fields["WARC-Type"] == "response" and payload_digest(payload) != digest:
-        raise ValueError(f"digest of {fields['WARC-Record-ID']} does not match its payload")
+    while raw:
+        head, _, rest = raw.partition(b"\r\n\r\n")
+        fields = _fields(head)
+        length = int(fields["content-length"])
+        block, raw = rest[:length], rest[length:].lstrip(b"\r\n")
+        kind = fields.get("warc-type", "")
+        if kind not in ("response", "resource", "revisit"):
+            continue
+        http, payload = {}, block
+        if kind != "resource" and block.startswith(b"HTTP/"):
+            top, _, payload = block.partition(b"\r\n\r\n")
+            http = _fields(top)
+        stated = fields.get("warc-payload-digest", "")
+        own = stated.removeprefix("sha1:").upper() if stated.lower().startswith("sha1:") else None
+        if kind == "revisit":
+            size = http.get("content-length", "")
+            size, digest, payload = int(size) if size.isdigit() else None, own, None
+        else:
+            size, digest = len(payload), payload_digest(payload)
+            if own and own != digest and "transfer-encoding" not in http:
+                raise ValueError(f"digest of {fields.get('warc-record-id')} does not match its payload")
+        yield {
+            "page_id": _own_id(fields.get("warc-record-id", "")), "url": fields.get("warc-target-uri", ""), "record_type": kind, "payload_digest": digest,
+            "payload_bytes": size, "refers_to": _own_id(fields.get("warc-refers-to", "")), "payload": payload,
+        }
 
-    def number(name: str) -> int | None:
-        text = fields.get(name, "").removeprefix("<urn:page:").removesuffix(">")
-        return int(text) if text else None
 
-    return {
-        "page_id": number("WARC-Record-ID"), "url": fields.get("WARC-Target-URI", ""), "record_type": fields["WARC-Type"], "payload_digest": digest,
-        "payload_bytes": int(sizes[0]) if sizes else len(payload), "refers_to": number("WARC-Refers-To"), "payload": None if fields["WARC-Type"] == "revisit" else payload,
-    }
+def parse(data: bytes) -> dict | None:
+    """The first record of a range; None where it holds none of the kinds that are read."""
+    return next(records_in(data), None)
 
 
 def _opens_by_range(path: str) -> bool:
@@ -270,7 +383,7 @@ def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     types = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64(), "payload": pa.binary()}
     schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long" + ", payload binary" * payload
     by_range = _opens_by_range(path)
-    files = spark.read.format("binaryFile").load(path)
+    files = spark.read.format("binaryFile").load(path).where("length > 0")
 
     def records(found: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], types.get(n, pa.string())) for n in names], names=names)
@@ -299,14 +412,15 @@ def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
                         file.close()
                     file, opened = Ranges(name), name
                 data = file.read(begin, stop - begin)
-                yield records([parse(data[o - begin : o - begin + n]) for _, o, n in wanted[k:m]])
+                yield records([r for _, o, n in wanted[k:m] for r in records_in(data[o - begin : o - begin + n])])
                 k = m
 
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(*batch.columns, strict=True):
                 file = Ranges(name.as_py(), content.as_py())
-                yield records([parse(file.read(o, n)) for o, n in sorted(locate(file))])
+                for o, n in sorted(locate(file)):
+                    yield records(list(records_in(file.read(o, n))))
 
     if not by_range:
         return files.select("path", "content").mapInArrow(whole, schema)
@@ -319,5 +433,5 @@ def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
 def round_trip(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
     """Write archives to the shared folder and read their records back."""
     path = scratch.path(pages.sparkSession, "warc")
-    write(pages, path, min_revisit)
+    write(pages, path, min_revisit, ARCHIVE if _opens_by_range(path) else MEMBER)
     return read(pages.sparkSession, path)
