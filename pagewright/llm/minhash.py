@@ -20,13 +20,16 @@ Scale: documents with equal sets are one class, so a group of copies costs one c
 every class is first checked against ``LEADERS`` of its classes, those least under as many hashes of
 the id (pairs linear in rows). Only a class that this leaves outside the bucket's largest component
 is then compared with the rest of its bucket: in small buckets by pairs that size and sketch leave,
-in larger ones by full sets in blocks of about ``BLOCK`` by ``BLOCK``, which return links and no
+in larger ones by full sets in blocks of about ``BLOCK`` by ``BLOCK`` sets (fewer where sets are large:
+about ``BLOCK_SHINGLES`` shingles a side), which return links and no
 pairs. So no pair of a bucket is lost, nothing unbounded meets in one task, and there is no cap on
 buckets. Per-word hashes are kept in a table that is emptied when it is full; that affects speed only.
 
 Recall: with 32 bands of 4 a pair at the limit of 0.85 is missed with probability
-``(1 - 0.85**4)**32 = 6e-11`` (at 0.8 with 5e-8); the sketch filter lets pass what is up to
-``SLACK`` standard deviations below the limit.
+``(1 - 0.85**4)**32 = 6e-11`` (at 0.8 with 5e-8). The sketch filter of leaders' pairs and of buckets
+up to ``SMALL`` lets pass what is up to ``SLACK`` standard deviations below the limit, so it loses a pair
+at the limit with a probability of about 1e-8 (the normal tail at 5.6; 3e-7 by the binomial of 128
+bins); pairs above the limit less often still. Larger buckets are compared without a filter.
 """
 
 from __future__ import annotations
@@ -51,6 +54,7 @@ LEADERS = 3
 #: Buckets up to this size list the pairs that are left; larger ones are compared block by block.
 SMALL = 32
 BLOCK = 256
+BLOCK_SHINGLES = 1 << 20
 #: Shingles that a block is compared by at a time.
 COLUMNS = 8192
 #: Standard deviations below the limit down to which a sketch's estimate has a pair checked on full sets.
@@ -230,24 +234,27 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     _, column = np.unique(np.concatenate(sets), return_inverse=True)
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
     for low in range(0, int(column[-1]) + 1, COLUMNS):
         part = slice(*np.searchsorted(column, [low, low + COLUMNS]))
         held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
         held[owner[part], column[part] - low] = 1
-        out += held[: len(left)] @ held[len(left) :].T
+        out += (held[: len(left)] @ held[len(left) :].T).astype(np.int64)  # a part's counts are exact
     return out
 
 
-def _links_in_large(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links_in_large(opened: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` of strays in buckets of more than ``SMALL`` classes, checked on full sets block by block.
 
     A stray gives one link for each component that it is linked with in a block, so what comes out
     is linear in what goes in even where thousands of documents are almost similar enough.
     """
-    cells = opened.where(F.col("m") > SMALL).join(sets, "id")
-    rows, cols = F.ceil(F.col("strays") / BLOCK).cast("long"), F.ceil(F.col("m") / BLOCK).cast("long")
-    cells = cells.withColumns({"rows": rows, "cols": cols, "hash": F.xxhash64("id")})
+    large = opened.where(F.col("m") > SMALL)
+    sized = large.join(classes.select("id", F.col("n_shingles").alias("n")), "id")
+    sides = sized.groupBy("key").agg(F.sum(F.when(F.col("own") != F.col("major"), F.col("n")).otherwise(0)).alias("stray_n"), F.sum("n").alias("n"))
+    rows = F.ceil(F.greatest(F.col("strays") / BLOCK, F.col("stray_n") / BLOCK_SHINGLES)).cast("long")
+    cols = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("n") / BLOCK_SHINGLES)).cast("long")
+    cells = large.join(sides, "key").join(sets, "id").withColumns({"rows": rows, "cols": cols, "hash": F.xxhash64("id")})
     fields = ["id", "own", "set"]
     along, down = F.sequence(F.lit(0).cast("long"), F.col("cols") - 1), F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)
     stray = cells.where("own <> major").select("key", F.pmod("hash", "rows").cast("long").alias("i"), F.explode(along).alias("j"), F.lit(1).alias("stray"), *fields)
@@ -300,7 +307,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = scratch.table(_confirmed(_likely(pairs, classes, percent), sets, percent), "minhash-links")
     labels = connected_components(links, "a", "b")
     opened = _open_buckets(members, labels)
-    more = _confirmed(_pairs_in_small(opened, classes, percent), sets, percent).unionByName(_links_in_large(opened, sets, percent))
+    more = _confirmed(_pairs_in_small(opened, classes, percent), sets, percent).unionByName(_links_in_large(opened, classes, sets, percent))
     more = scratch.table(more, "minhash-links")
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more), "a", "b")
