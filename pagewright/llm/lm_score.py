@@ -1,15 +1,25 @@
 r"""Language-model scores: the marginal likelihood of a text over all its subword segmentations.
 
-Method: an existing vocabulary gives the pieces and, by its scores, their first weights; one pass of
-expected counts over every distinct training word turns these into the corpus's (each word counts
-once: the subword edges have to foresee new words, which are like the rare ones). A word's
-probability is the sum over all ways to cut it into pieces, by a forward recursion in log space.
-Because a piece that begins a word carries the mark ``U+2581``, these sums are a proper distribution
-over words. A word seen in training also has its own edge through the lattice, whose weight is its
-relative frequency. The share ``NOVEL`` of the subword edges is the Good-Turing estimate of unseen
-words (singletons over tokens). Word after word the model mixes in what the text itself has held so
-far (weight ``OWN * t / (t + OWN_AFTER)`` after t words), so that a text's language and subject
-count; the result is the probability of the whole text, its end included.
+Method: a text is a sequence of words and an end; each word, after its mark ``U+2581``, is a lattice
+whose edges are pieces of an existing vocabulary, and the sum over all paths is the word's
+probability, by a forward recursion in log space. Because only pieces with the mark begin a word, no
+edge crosses from word to word, so the text's sum over all segmentations is the product of its
+words' sums. In the lattice
+
+* a first piece has the share ``NOVEL`` times its weight, a later piece its weight, and the word ends
+  with the weight ``stop``; first weights sum to 1, later ones and ``stop`` sum to 1, and the word of
+  no characters is taken out, so that spelled words sum to 1;
+* a word seen in training has one more edge from its begin to its end, with the share ``1 - NOVEL``
+  times its relative frequency.
+
+``NOVEL`` is the Good-Turing estimate of unseen words (singletons over words). After each word the
+text goes on or ends by the share of ends among training tokens. So probabilities of all texts sum to
+1 (to less only by what byte sequences take that spell no word, or characters that have a piece).
+
+Weights: the vocabulary's scores, which for this kind of model are negative ranks, give the first
+weights (inverse to the rank); one pass of expected counts over every distinct training word makes
+them the corpus's. Each word counts once there, because the pieces have to foresee new words, which
+are like the rare ones.
 
 Tokens: A-Z lower-cased, runs of ``[^\x20\x09-\x0D]``, then one end. The base score is the sum of
 ``log10((c + 1) / (N + V + 1))`` over tokens; both scores learn from rows whose crc32(doc_id) mod 7
@@ -17,13 +27,15 @@ is not 2.
 
 Defined results: null text is empty and scores its end alone; a row without a doc_id counts as crc32
 of the empty string; repeated rows each give a row and each count in training; with nothing to learn
-from, N and V are 0 and words are scored by the vocabulary's own weights; characters that the
-vocabulary lacks are spelled in bytes; other columns are passed over. Texts are never cut.
-
-Scale: words are counted map-side first; all distinct words stay in a distributed table. The
-most frequent, at most ``TOP``, are sent to the workers (a bound on size, not on what is counted); every
-other word is looked up exactly, by a join on the word, so a text is one row and a row for each of
-its rarer words. Hot words are never keys of that join.
+from, N and V are 0, every word is spelled by the vocabulary's own weights, ``stop`` is ``STOP`` and
+the share of ends one half; characters that the vocabulary lacks, and the mark inside a word, are
+spelled in bytes; other columns are passed over. Texts are never cut.
+
+Scale: words of all texts are counted map-side first; all distinct words, with their lattice sums,
+stay in a distributed table, computed once a word. The most frequent, at most ``TOP``, are sent to
+the workers (a bound on size, not on what is counted); every other word is looked up exactly, by a
+join on the word, so a text is one row and a row for each of its rarer words. Hot words are never
+keys of that join.
 """
 
 from __future__ import annotations
@@ -31,35 +43,35 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright import scratch
 from pagewright.llm.lang_id import remainder
 
 TOP = 200_000
-WORDS_KEPT = 300_000
 #: Distinct words that a task counts before it hands its counts on.
 FLUSH = 400_000
-OWN = 0.3
-OWN_AFTER = 60.0
 MARK = "▁"
 #: Added to ranks, so that the first pieces do not take all the weight.
 RANK_SHIFT = 20.0
 #: Added to each piece's expected count.
 PRIOR = 0.05
+#: Weight of a word's end where nothing was learned.
+STOP = 0.5
 
 
 def vocabulary(model_path: str) -> dict[str, float]:
-    """Natural log weights of pieces, and of the 256 bytes as chr(0xE000 + byte), from a model's scores.
+    """Weights of pieces, and of the 256 bytes as chr(0xE000 + byte), from a model's scores.
 
     The scores of this kind of model are the negative ranks of pieces; a piece's first weight is
-    inverse to its rank.
+    inverse to its rank. Pieces with a mark after their first character stand for white space and
+    can be part of no word.
     """
     import sentencepiece
 
@@ -67,10 +79,33 @@ def vocabulary(model_path: str) -> dict[str, float]:
     size = model.get_piece_size()
     weights: dict[str, float] = {byte_piece(b): 1e-7 for b in range(256)}
     for i in range(size):
-        if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)):
-            weights[model.id_to_piece(i)] = 1.0 / (RANK_SHIFT + min(-model.get_score(i), 1e6))
-    total = sum(weights.values())
-    return {piece: math.log(w / total) for piece, w in weights.items()}
+        piece = model.id_to_piece(i)
+        if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or MARK in piece[1:]):
+            weights[piece] = 1.0 / (RANK_SHIFT + min(-model.get_score(i), 1e6))
+    return weights
+
+
+@dataclass(frozen=True)
+class Weights:
+    """Log weights of first and later pieces, and the weight of a word's end."""
+
+    logs: dict[str, float]
+    stop: float
+
+    @property
+    def ending(self) -> float:
+        """log10 of what every spelled word is multiplied by: its end, over all words but the empty one."""
+        empty = math.exp(self.logs[MARK]) * self.stop if MARK in self.logs else 0.0
+        return math.log10(self.stop) - math.log10(1 - empty)
+
+
+def normalised(weights: dict[str, float], words: float | None = None) -> Weights:
+    """First pieces sum to 1, later ones and the end of ``words`` words too."""
+    first = sum(w for piece, w in weights.items() if piece.startswith(MARK))
+    later = sum(w for piece, w in weights.items() if not piece.startswith(MARK))
+    stop = STOP if words is None else words / (later + words)
+    logs = {piece: math.log(w / first if piece.startswith(MARK) else w / later * (1 - stop)) for piece, w in weights.items()}
+    return Weights(logs, stop)
 
 
 def byte_piece(byte: int) -> str:
@@ -100,6 +135,8 @@ class Lattice:
         out, n = [], len(text)
         for start in range(n):
             node, end = self.trie.get(text[start]), start + 1
+            if start and text[start] == MARK:
+                node = None
             if node is None or "" not in node:
                 log = sum(self.logs[byte_piece(b)] for b in text[start].encode())
                 out.append((start, end, math.exp(log), log, None))
@@ -188,8 +225,8 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []  # just A-Z and [\x20\x09-\x0D]
 
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """``(word, c)`` of all words of the texts."""
+def word_counts(docs: DataFrame, held: Column) -> DataFrame:
+    """``(word, c)`` of all words of the texts; c: how often it stands in those that are not held out."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -200,47 +237,83 @@ def word_counts(train: DataFrame) -> DataFrame:
             return batch
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(words_of(text))
+            for text, is_held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if is_held:
+                    counts.update(dict.fromkeys(words_of(text), 0))
+                else:
+                    counts.update(words_of(text))
                 if len(counts) > FLUSH:
                     yield out()
         yield out()
 
-    partial = train.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word string, c long")
+    partial = docs.select(F.col("text").cast("binary").alias("text"), held.alias("held")).mapInArrow(run, "word string, c long")
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def with_lattice(counts: DataFrame, logs: dict[str, float]) -> DataFrame:
-    """``(word, c, lattice)``: log10 of each word's probability by its segmentations."""
-    sent = counts.sparkSession.sparkContext.broadcast(logs)
+def fitted(words: DataFrame, vocabulary: dict[str, float]) -> Weights:
+    """The weights after one pass of expected counts over the words."""
+    first = normalised(vocabulary)
+    sent = words.sparkSession.sparkContext.broadcast(first.logs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(sent.value)
+        lattice, total, n = Lattice(sent.value), {}, 0
         for batch in batches:
-            found = [lattice.log10(word) for word in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["word", "c", "lattice"])
+            for word in batch.column(0).to_pylist():
+                lattice.expect(word, 1.0, total)
+                n += 1
+        total[""] = float(n)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.float64())], names=["piece", "n"])
 
-    return counts.select("word", "c").mapInArrow(run, "word string, c long, lattice double")
+    rows = words.select("word").mapInArrow(run, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+    table = rows.toArrow()  # as many rows as the vocabulary has pieces, at most, and the number of words
+    found = dict(zip(table["piece"].to_pylist(), table["n"].to_pylist(), strict=True))
+    n = found.pop("", 0.0)
+    return normalised({piece: found.get(piece, 0.0) + PRIOR for piece in vocabulary}, n) if n else first
 
 
-def fitted(counts: DataFrame, logs: dict[str, float]) -> dict[str, float]:
-    """Piece weights after one pass of expected counts over all distinct words."""
-    sent = counts.sparkSession.sparkContext.broadcast(logs)
+@dataclass(frozen=True)
+class Model:
+    """What is learned: weights of pieces, and counts of training tokens."""
+
+    weights: Weights
+    words: int  # training words
+    ends: int  # training texts
+    novel: float
+
+    @property
+    def more(self) -> float:
+        """The probability that a text goes on."""
+        return (self.words + 1) / (self.words + self.ends + 2)
+
+    def chance(self, lattice: Lattice, word: str, c: int) -> float:
+        """log10 of a word's probability, of all paths through its lattice."""
+        spelled = lattice.log10(word) + self.weights.ending + math.log10(self.novel)
+        if not c or self.novel == 1:
+            return spelled
+        whole = math.log10((1 - self.novel) * c / self.words)
+        top = max(spelled, whole)
+        return top + math.log10(10 ** (spelled - top) + 10 ** (whole - top))
+
+
+def model_of(words: DataFrame, ends: int, vocabulary: dict[str, float]) -> Model:
+    """Learn from ``(word, c)`` of the training texts and their number."""
+    row = words.agg(F.sum("c"), F.count_if(F.col("c") == 1)).first()
+    total, singles = row[0] or 0, row[1]
+    novel = max(singles, 1) / total if total > 1 else 1.0
+    return Model(fitted(words.where("c > 0"), vocabulary), total, ends, novel)
+
+
+def with_chance(words: DataFrame, model: Model) -> DataFrame:
+    """``(word, c, chance)``: log10 of each word's probability."""
+    sent = words.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, total = Lattice(sent.value), {}
+        lattice = Lattice(sent.value.weights.logs)
         for batch in batches:
-            for word in batch.column(0).to_pylist():
-                lattice.expect(word, 1.0, total)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.float64())], names=["piece", "n"])
+            found = [sent.value.chance(lattice, word, c) for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["word", "c", "chance"])
 
-    rows = counts.select("word").mapInArrow(run, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
-    table = rows.toArrow()  # as many rows as the vocabulary has pieces, at most
-    found = dict(zip(table["piece"].to_pylist(), table["n"].to_pylist(), strict=True))
-    if not found:
-        return logs
-    total = sum(found.values()) + PRIOR * len(logs)
-    return {piece: math.log((found.get(piece, 0.0) + PRIOR) / total) for piece in logs}
+    return words.select("word", "c").mapInArrow(run, "word string, c long, chance double")
 
 
 def _most_frequent(counts: DataFrame, top: int) -> DataFrame:
@@ -248,6 +321,7 @@ def _most_frequent(counts: DataFrame, top: int) -> DataFrame:
 
     A histogram of a few hundred rows finds the limit, so that no task sorts or gathers candidates.
     """
+    counts = counts.where("c > 0")
     level = F.floor(F.log2("c") * 8)
     held, least = 0, math.inf
     for row in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
@@ -259,113 +333,63 @@ def _most_frequent(counts: DataFrame, top: int) -> DataFrame:
 
 def score(docs: DataFrame, model_path: str, mod: int = 7, held_out: int = 2, top: int = TOP) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     held = remainder(F.col("doc_id"), mod) == held_out
-    train = docs.where(~held)
-    counts = scratch.table(word_counts(train), "lm-counts")
-    ends = train.count()
-    row = counts.agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1)).first()
-    n_train, n_kinds, singles = (row[0] or 0) + ends, row[1] + (ends > 0), row[2]
-    novel = min(1.0, max(singles, 1) / max(n_train, 1))
+    words = scratch.table(word_counts(docs, held), "lm-counts")
+    ends = docs.where(~held).count()
+    model = model_of(words, ends, vocabulary(model_path))
+    n_train, n_kinds = model.words + ends, words.where("c > 0").count() + (ends > 0)
     bottom = n_train + n_kinds + 1
-    logs = fitted(counts, vocabulary(model_path))
-    counts = scratch.table(with_lattice(counts, logs), "lm-words")
-    head = _most_frequent(counts, top).toArrow()
-    sent = spark.sparkContext.broadcast(tuple(head[c].to_pylist() for c in ("word", "c", "lattice")))
-    sent_logs = spark.sparkContext.broadcast(logs)
+    words = scratch.table(with_chance(words, model), "lm-words")
+    head = _most_frequent(words, top).toArrow()
+    sent = context.broadcast((head["word"].to_pylist(), head["c"].to_numpy(), head["chance"].to_numpy()))
+    more, last = math.log10(model.more), math.log10(1 - model.more)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"uid long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, own double, word string, keep array<double>, held array<double>"
+    schema = f"uid long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, own double, word string, times long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top_words, top_counts, top_lattice = sent.value
-        fixed = len(top_words)
+        top_words, count, chance = sent.value
         number = {w.encode(): i for i, w in enumerate(top_words)}
-        count = np.array(top_counts, dtype=np.int64)
         base_log = np.log10((count + 1) / bottom)
-        chance = (1 - novel) * (count + 1) / bottom + novel * 10 ** np.array(top_lattice, dtype=np.float64)
-        more: dict[bytes, int] = {}  # rarer words, by numbers from ``fixed`` on
-        names: list[bytes] = []
         uid = TaskContext.get().partitionId() << 33
 
         for batch in batches:
-            cols: list[list] = [[] for _ in range(10)]
-            for doc_id, is_held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = words_of(text)
-                n = len(words)
-                if len(more) > WORDS_KEPT:
-                    more, names = {}, []
-                ids = np.empty(n, dtype=np.int64)
-                for k, word in enumerate(words):
-                    i = number.get(word)
-                    if i is None:
-                        i = more.get(word)
-                        if i is None:
-                            i = more[word] = fixed + len(names)
-                            names.append(word)
-                    ids[k] = i
-                order = np.argsort(ids, kind="stable")
-                ranked = ids[order]
-                first = np.ones(n, dtype=bool)
-                first[1:] = ranked[1:] != ranked[:-1]
-                begin = np.flatnonzero(first)
-                before = np.empty(n, dtype=np.int64)  # earlier occurrences in this text
-                before[order] = np.arange(n) - np.repeat(begin, np.diff(np.append(begin, n)))
-                t = np.arange(n)
-                keep, held_part = 1 - OWN * t / (t + OWN_AFTER), OWN * before / (t + OWN_AFTER)
-
-                often = ids < fixed
-                known_ids = ids[often]
-                own = float(np.log10(keep[often] * chance[known_ids] + held_part[often]).sum())
-                base = float(base_log[known_ids].sum())
-                end_keep = 1 - OWN * n / (n + OWN_AFTER)
-                base += math.log10((ends + 1) / bottom)
-                own += math.log10(end_keep * (ends + 1) / bottom)
-                rare = ~often
-                own += float(np.log10(keep[rare & (before == 0)]).sum())
-                for col, value in zip(cols, (uid, doc_id, is_held, n + 1, len(known_ids) + (ends > 0), base, own, None, None, None), strict=True):
+            cols: list[list] = [[] for _ in range(9)]
+            for doc_id, is_held, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                counted = Counter(words_of(text))
+                n = counted.total()
+                rare = [(word, times) for word, times in counted.items() if word not in number]
+                often = [(number[word], times) for word, times in counted.items() if word in number]
+                at, times = np.array(often, dtype=np.int64).reshape(-1, 2).T
+                base = float(base_log[at] @ times) + math.log10((ends + 1) / bottom)
+                own = float(chance[at] @ times) + n * more + last
+                for col, value in zip(cols, (uid, doc_id, is_held, n + 1, int(times.sum()) + (ends > 0), base, own, None, None), strict=True):
                     col.append(value)
-                if rare.any():
-                    again = np.flatnonzero(rare & (before > 0))
-                    repeats: dict[int, list[int]] = {}
-                    for k in again:
-                        repeats.setdefault(int(ids[k]), []).append(int(k))
-                    for i in np.unique(ids[rare]).tolist():
-                        at = repeats.get(i, [])
-                        for col, value in zip(cols, (uid, None, None, None, None, None, None, names[i - fixed].decode(), keep[at].tolist(), held_part[at].tolist()), strict=True):
-                            col.append(value)
+                k = len(rare)
+                cols[0].extend([uid] * k)
+                for col in cols[1:7]:
+                    col.extend([None] * k)
+                cols[7].extend(word.decode() for word, _ in rare)
+                cols[8].extend(times for _, times in rare)
                 uid += 1
-            types = [pa.int64(), batch.schema.field(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.list_(pa.float64()), pa.list_(pa.float64())]
-            names_out = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "own", "word", "keep", "held"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types, strict=True)], names=names_out)
+            types = [pa.int64(), batch.schema.field(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.int64()]
+            names = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "own", "word", "times"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types, strict=True)], names=names)
 
     parts = docs.select("doc_id", held.alias("held_out"), F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
     # a text's own row meets no word; its key deals such rows evenly (no word holds a space)
     key = F.coalesce("word", F.concat(F.lit(" "), F.col("uid").cast("string")))
-    joined = parts.withColumn("key", key).join(counts.select(F.col("word").alias("key"), "c", "lattice"), "key", "left")
-
-    @F.pandas_udf("double")
-    def lattice_of(words: pd.Series) -> pd.Series:
-        lattice = Lattice(sent_logs.value)
-        return words.map(lambda w: None if w is None else lattice.log10(w)).astype("float64")
-
-    unseen = F.when(F.col("c").isNull(), F.col("word"))
-    joined = joined.withColumn("lattice", F.coalesce("lattice", lattice_of(unseen)))
-    c = F.coalesce("c", F.lit(0))
-    plain = (c + 1) / F.lit(float(bottom))
-    chance = F.when(c > 0, plain * (1 - novel)).otherwise(0.0) + F.pow(F.lit(10.0), "lattice") * novel
-    chance_log = F.when((c > 0) | (F.col("lattice") > -300), F.log10(chance)).otherwise(F.col("lattice") + math.log10(novel))
-    pairs = F.zip_with("keep", "held", lambda k, h: F.log10(k * F.pow(F.lit(10.0), F.col("chance_log")) + h))
-    joined = joined.withColumn("chance_log", chance_log)
-    times = F.size("keep") + 1
-    rare = F.col("word").isNotNull()
+    joined = parts.withColumn("key", key).join(words.select(F.col("word").alias("key"), "c", "chance"), "key", "left")
+    rare, times = F.col("word").isNotNull(), F.col("times")
+    base = F.log10((F.col("c") + 1) / F.lit(float(bottom)))
     return (
         joined.groupBy("uid")
         .agg(
             F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-            F.sum(F.when(rare, F.when(c > 0, times).otherwise(0)).otherwise(F.col("known"))).cast("long").alias("n_known"),
+            F.sum(F.when(rare, F.when(F.col("c") > 0, times).otherwise(0)).otherwise(F.col("known"))).cast("long").alias("n_known"),
             F.lit(n_train).cast("long").alias("train_tokens"),
-            F.sum(F.when(rare, times * F.log10(plain)).otherwise(F.col("base"))).alias("base_score"),
-            F.sum(F.when(rare, F.col("chance_log") + F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x)).otherwise(F.col("own"))).alias("score"),
+            F.sum(F.when(rare, times * base).otherwise(F.col("base"))).alias("base_score"),
+            F.sum(F.when(rare, times * F.col("chance")).otherwise(F.col("own"))).alias("score"),
         )
         .drop("uid")
     )
