@@ -1,8 +1,8 @@
 """Intermediate tables in the folder that all nodes share.
 
 A table written here cuts lineage like ``checkpoint()`` does and survives lost executors; unlike a
-cached frame it holds no executor memory. The folder is ``spark.checkpoint.dir``; only where that
-is unset (local tests) is a temporary folder of this machine taken.
+cached frame it holds no executor memory. The folder is ``spark.checkpoint.dir`` or the context's
+checkpoint folder; only a local master may do without, which takes a temporary folder.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ def root(spark: SparkSession) -> str:
         if current.isDefined():
             folder = current.get()
         else:
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir has to name a folder that all nodes share")
             folder = "file://" + tempfile.mkdtemp(prefix="pagewright-scratch-")
             context.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -32,11 +34,11 @@ def path(spark: SparkSession, label: str) -> str:
     return f"{root(spark)}/pagewright/{label}-{uuid.uuid4().hex}"
 
 
-def table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
-    spark, target = df.sparkSession, path(df.sparkSession, label)
+def table(df: DataFrame, label: str, reader: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back, in the session ``reader`` if one is given."""
+    target = path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
+    return (reader or df.sparkSession).read.schema(df.schema).parquet(target)
 
 
 def purge(spark: SparkSession) -> None:

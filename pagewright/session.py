@@ -32,6 +32,17 @@ def get_spark(app: str = "pagewright", master: str | None = None, **conf: str) -
     return spark
 
 
+def separate(spark: SparkSession, **conf: str) -> SparkSession:
+    """A session with the SQL settings of ``spark`` and those given, which no query of ``spark`` sees."""
+    own = spark.newSession()
+    for row in spark.sql("SET").collect():
+        if row["key"].startswith("spark.sql.") and spark.conf.isModifiable(row["key"]):
+            own.conf.set(row["key"], row["value"])
+    for key, value in conf.items():
+        own.conf.set(key, value)
+    return own
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application.
 
