@@ -26,10 +26,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright import scratch
+from pagewright.session import separate
 
 #: Members of a group that one task compares with the kept text.
 SALT_ROWS = 4096
@@ -62,12 +63,6 @@ def locators(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> Da
     )
 
 
-def own_settings(spark: SparkSession) -> dict[str, str]:
-    """The settings of the session that the stream starts from, and those of its store."""
-    found = {row["key"]: row["value"] for row in spark.sql("SET").collect() if row["key"].startswith("spark.sql.") and spark.conf.isModifiable(row["key"])}
-    return found | STATE_CONF
-
-
 def stream_groups(narrow: DataFrame, at: str, state: str | None = None) -> DataFrame:
     """Run the stateful stream over the locator table at path ``at``: ``(digest, group_size, best)``.
 
@@ -75,9 +70,7 @@ def stream_groups(narrow: DataFrame, at: str, state: str | None = None) -> DataF
     """
     spark = narrow.sparkSession
     state = state or scratch.path(spark, "dedup-state")
-    own = spark.newSession()  # its settings are seen by no other query
-    for key, value in own_settings(spark).items():
-        own.conf.set(key, value)
+    own = separate(spark, **STATE_CONF)
     groups = f"{state}/groups"
     best = F.max(F.struct("n_code", F.bitwise_not("doc_id").alias("not_id"), "file")).alias("best")
     stream = own.readStream.schema(narrow.schema).option("maxBytesPerTrigger", str(4 << 30)).parquet(at)
