@@ -10,6 +10,11 @@ about ``FILL`` members; ``l`` follows from the wanted miss probability at the li
 come from the collision probability of p-stable hashing, none from the data. Projections are sums of
 integers that doubles hold exactly, so the same vector has the same hashes wherever it is computed.
 
+Tables are taken in rounds of as many as ``ROUND_BYTES`` of copied vectors allow (one at least). A
+round is a job of its own, whose shuffle files go when it ends, so disk holds the table twice (as
+read, and its classes) and one round, however many tables there are. The copies that are sent in all
+are ``l`` of each vector: ``l`` grows as the number of vectors to the power of 0.27.
+
 Links are counted without listing pairs: bitwise equal vectors are one class with a weight; buckets
 are cut into blocks of about ``BLOCK`` classes, and every pair of blocks of a bucket is compared once
 by a matrix product. A pair that shares several buckets counts in the first of its tables only. A
@@ -35,11 +40,16 @@ from pyspark.sql import functions as F
 from pagewright import scratch
 from pagewright.llm.blocks import fixed, grouped
 from pagewright.operators.components import connected_components
+from pagewright.session import separate
 
 WIDTH = 2.5
 FILL = 512
 MISS = 2.5e-4
 BLOCK = 256
+#: Copies of vectors that a round may hold on disk, beyond those of one table.
+ROUND_BYTES = 256 << 20
+#: A round's shuffle files are deleted at its end; its frames are used once.
+ROUND_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 #: Fixed-point steps of a unit vector's component and of a projection's.
 STEP = float(1 << 20)
 
@@ -69,10 +79,11 @@ class Hashes:
         self.shift = np.rint(rng.uniform(0, WIDTH, k * l) * STEP * STEP)
         self.salt = rng.integers(1, 1 << 62, k, dtype=np.int64).astype(np.uint64) | np.uint64(1)
 
-    def buckets(self, unit: np.ndarray) -> np.ndarray:
-        """The bucket number of each row in each table."""
-        projected = np.rint(unit * STEP) @ self.planes + self.shift
-        cells = np.floor(projected / (WIDTH * STEP * STEP)).astype(np.int64).astype(np.uint64).reshape(len(unit), self.l, self.k)
+    def buckets(self, unit: np.ndarray, low: int, high: int) -> np.ndarray:
+        """The bucket number of each row in each of the tables from ``low`` to before ``high``."""
+        part = slice(low * self.k, high * self.k)
+        projected = np.rint(unit * STEP) @ self.planes[:, part] + self.shift[part]
+        cells = np.floor(projected / (WIDTH * STEP * STEP)).astype(np.int64).astype(np.uint64).reshape(len(unit), high - low, self.k)
         mixed = np.zeros(cells.shape[:2], dtype=np.uint64)
         for i in range(self.k):
             mixed = (mixed ^ (cells[:, :, i] * self.salt[i])) * np.uint64(0x9E3779B97F4A7C15)
@@ -92,7 +103,7 @@ def _compare(a: np.ndarray, b: np.ndarray, same: bool, tables: np.ndarray, hashe
     if len(p) and tables:
         rows, at_p = np.unique(p, return_inverse=True)
         cols, at_q = np.unique(q, return_inverse=True)
-        ha, hb = hashes.buckets(a[rows])[:, :tables], hashes.buckets(b[cols])[:, :tables]
+        ha, hb = hashes.buckets(a[rows], 0, tables), hashes.buckets(b[cols], 0, tables)
         fresh = np.ones(len(p), dtype=bool)
         for low in range(0, len(p), 1 << 16):
             part = slice(low, low + (1 << 16))
@@ -124,34 +135,41 @@ def _of_length(sound: DataFrame, dim: int, code: str, cosine: float) -> DataFram
             raw = batch.column(1).flatten().to_numpy().astype(code).reshape(-1, dim) + 0  # no negative zeros
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in raw], pa.binary())], names=["vec_id", "v"])
 
-    packed = sound.mapInArrow(pack, "vec_id long, v binary")
-    packed = scratch.table(packed.withColumn("print", F.sha2("v", 256)), "embed-packed")
+    own = separate(sound.sparkSession, **ROUND_CONF)
+    packed = sound.mapInArrow(pack, "vec_id long, v binary").withColumn("print", F.unhex(F.sha2("v", 256)))
+    packed = scratch.table(packed, "embed-packed", own)
     classes = packed.groupBy("print").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.first("v").alias("v"))
     classes = scratch.table(classes, "embed-classes")
-    k, l = parameters(classes.count(), cosine)
-
-    def keys(batches) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes(dim, k, l)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 2048):
-                part = batch.slice(low, 2048)
-                found = hashes.buckets(unit_rows(fixed(part.column(0), code, dim)))
-                rows = np.arange(part.num_rows).repeat(l)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.tile(np.arange(l, dtype=np.int64), part.num_rows)), pa.array(found.ravel()),
-                        part.column(1).take(pa.array(rows)), part.column(2).take(pa.array(rows)), part.column(0).take(pa.array(rows)),
-                    ],
-                    names=["table", "bucket", "id", "weight", "v"],
-                )
-
-    hashed = classes.select("v", "id", "weight").mapInArrow(keys, "table long, bucket long, id long, weight long, v binary")
-    large = hashed.groupBy("table", "bucket").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK)
-    large = scratch.table(large.select("table", "bucket", F.ceil(F.col("m") / BLOCK).alias("blocks")), "embed-large")
-    cells = hashed.join(large, ["table", "bucket"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    cells = cells.withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
-    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    cells = cells.select("table", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "weight", "v")
+    n = classes.count()
+    k, l = parameters(n, cosine)
+    together = max(1, ROUND_BYTES // (max(n, 1) * (dim * np.dtype(code).itemsize + 32)))
+
+    def hashed(low: int, high: int) -> DataFrame:
+        """Each class in each of the tables from ``low`` to before ``high``."""
+
+        def keys(batches) -> Iterator[pa.RecordBatch]:
+            hashes = Hashes(dim, k, l)
+            tables = np.arange(low, high, dtype=np.int64)
+            for batch in batches:
+                for first in range(0, batch.num_rows, 2048):
+                    part = batch.slice(first, 2048)
+                    found = hashes.buckets(unit_rows(fixed(part.column(0), code, dim)), low, high)
+                    rows = pa.array(np.arange(part.num_rows).repeat(len(tables)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.tile(tables, part.num_rows)), pa.array(found.ravel()), part.column(1).take(rows), part.column(2).take(rows), part.column(0).take(rows)],
+                        names=["table", "bucket", "id", "weight", "v"],
+                    )
+
+        return classes.select("v", "id", "weight").mapInArrow(keys, "table long, bucket long, id long, weight long, v binary")
+
+    def cells_of(low: int, high: int) -> DataFrame:
+        rows = hashed(low, high)
+        large = rows.groupBy("table", "bucket").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK)
+        large = scratch.table(large.select("table", "bucket", F.ceil(F.col("m") / BLOCK).alias("blocks")), "embed-large")
+        cells = rows.join(large, ["table", "bucket"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        cells = cells.withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
+        cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        return cells.select("table", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "weight", "v")
 
     def handle(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         hashes = Hashes(dim, k, l)
@@ -188,9 +206,15 @@ def _of_length(sound: DataFrame, dim: int, code: str, cosine: float) -> DataFram
             at, n_links, roots = (np.concatenate(col) for col in out)
             yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(n_links), pa.array(roots)], names=["id", "n", "root"])
 
-    found = scratch.table(grouped(cells, ["table", "bucket", "i", "j"], handle, "id long, n long, root long"), "embed-found")
+    at = scratch.path(own, "embed-found")
+    schema = "id long, n long, root long"
+    for low in range(0, l, together):
+        cells = cells_of(low, min(l, low + together))
+        grouped(cells, ["table", "bucket", "i", "j"], handle, schema).write.mode("overwrite").parquet(f"{at}/round={low}")
+    found = own.read.schema(schema).parquet(at).select("id", "n", "root")
     labels = connected_components(found, "id", "root")
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     known = classes.select("print", "id", "weight").join(counts, "id", "left").join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
     known = known.select("print", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    return packed.select("vec_id", "print").join(scratch.table(known, "embed-known"), "print").select("vec_id", "n_links", "component_id")
+    known = packed.select("vec_id", "print").join(scratch.table(known, "embed-known"), "print").select("vec_id", "n_links", "component_id")
+    return scratch.table(known, "embed-links", sound.sparkSession)
