@@ -1,5 +1,7 @@
 r"""DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+from pagewright.llm.fixtures import MAIN_TEXT
+
 OP1 = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
@@ -110,10 +112,26 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k
 """
 
+# Every page of the table has its text in one plain article element.
+OP4 = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS t FROM pages
+), d AS (
+  SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM a
+)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM d
+"""
+
+MAIN_TEXT_FIXTURES = "SELECT page_id::BIGINT AS page_id, text, length(text)::BIGINT AS n_chars FROM (VALUES " + ", ".join(
+    f"({i}, '{text}')" for i, (_, text) in enumerate(MAIN_TEXT)
+) + ") AS v(page_id, text)"
+
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": OP1,
     "op2_warc": OP2,
     "op3_embedding_dedup": OP3,
+    "main_text_fixtures": MAIN_TEXT_FIXTURES,
+    "op4_html_text": OP4,
     "op7_mixing": OP7,
     "op9_exact_dedup": OP9,
 }

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pagewright.llm import bpe, embed_dedup, exact_dedup, html_text, lang_id, lm_score, minhash, mixing, token_counts, warc
+from pagewright.llm.fixtures import MAIN_TEXT
 from pagewright.session import ship
 
 
@@ -33,6 +34,13 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages"))
 
 
+def main_text_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator of op4 over fixed pages that the tables do not hold."""
+    ship(spark)
+    pages = spark.createDataFrame([(i, "", html) for i, (html, _) in enumerate(MAIN_TEXT)], "page_id long, url string, html string")
+    return html_text.extract(pages).select("page_id", "text", "n_chars")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(_read(spark, sf_dir, "documents"))
 
@@ -69,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_html_text": op4_html_text,
+    "main_text_fixtures": main_text_fixtures,
     "op5_language_id": op5_language_id,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
