@@ -46,6 +46,9 @@ DOCS_PER_LANG = 1000
 #: Languages whose trees share an automaton.
 TOGETHER = 8
 WINDOW = 64
+#: A text whose best language is less likely than this is rejected by ``keep_known``.
+MIN_SCORE = 0.5
+UNKNOWN = "und"
 RUN = 1024
 SEPARATOR = 0x20
 #: Odd factor that spreads keys over a table of hashes.
@@ -291,7 +294,7 @@ def code_lengths(texts: list[bytes], model: Model) -> np.ndarray:
 
 
 def predict(texts: list[bytes | None], model: Model | None) -> list[tuple[str, float]]:
-    out = [("und", 0.0)] * len(texts)
+    out = [(UNKNOWN, 0.0)] * len(texts)
     if model is None:
         return out
     rows = [i for i, t in enumerate(texts) if t and has_letter(t)]
@@ -333,23 +336,24 @@ def identify(docs: DataFrame, train: DataFrame | None = None, mod: int = 4, held
     return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that identification rejects: those with the prediction ``und``.
+def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """``docs`` without the documents that identification rejects.
 
-    Learning needs no held-out rows here. A document is rejected if it has no letter, so the filter
-    is decided row by row; no identifier is joined.
+    Rejected are those with the prediction ``und``, and those whose predicted language has a score
+    below ``min_score``: the learned languages tell nothing about them. Learning needs no held-out
+    rows here. Predictions are attached row by row; no identifier is joined. With nothing to learn
+    from, only texts without any letter go.
     """
     model = learn(docs)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.encode() if t is not None else None for t in batch.column("text").to_pylist()]
-            if sent.value is None:  # nothing was learned: only what no language could claim is rejected
+            if sent.value is None:
                 known = [bool(t) and has_letter(t) for t in texts]
             else:
-                known = [lang != "und" for lang, _ in predict(texts, sent.value)]
+                known = [lang != UNKNOWN and score >= min_score for lang, score in predict(texts, sent.value)]
             yield batch.filter(pa.array(known, pa.bool_()))
 
-    return docs.select(*columns).mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
