@@ -165,7 +165,9 @@ def parse(html: str | None, context: bool = True) -> dict:
 
 
 def parsed(pages: DataFrame, context: bool = False) -> DataFrame:
-    """``pages`` with a struct column ``parsed``; Python is entered once a page."""
+    """``pages`` with a struct column ``parsed``; Python is entered once a page, not at all where the column is there."""
+    if "parsed" in pages.columns:
+        return pages
     schema = StructType([*pages.schema.fields, *StructType.fromDDL(f"parsed {PARSED}").fields])
     kind = to_arrow_type(schema["parsed"].dataType)
     at = pages.columns.index("html")
@@ -180,9 +182,15 @@ def parsed(pages: DataFrame, context: bool = False) -> DataFrame:
     return pages.mapInArrow(run, schema)
 
 
-def anchors_native(pages: DataFrame) -> DataFrame:
-    """H4 without Python, for html whose anchors are ``<a href="...">text</a>``: ``page_id, url, pos, href, text``."""
+def anchor_array_native(pages: DataFrame) -> DataFrame:
+    """H4 without Python, for html whose anchors are ``<a href="...">text</a>``: ``page_id, url, anchors``."""
     pattern = F.lit(r'(?s)<a href="([^"]*)">(.*?)</a>')
     pairs = F.arrays_zip(F.regexp_extract_all("html", pattern, F.lit(1)).alias("href"), F.regexp_extract_all("html", pattern, F.lit(2)).alias("text"))
-    rows = pages.select("page_id", "url", F.posexplode(pairs).alias("pos", "a"))
-    return rows.select("page_id", "url", "pos", F.trim(F.col("a.href")).alias("href"), F.trim(F.col("a.text")).alias("text"))
+    anchors = F.transform(pairs, lambda a, i: F.struct(i.alias("pos"), F.trim(a["href"]).alias("href"), F.trim(a["text"]).alias("text")))
+    return pages.select("page_id", "url", anchors.alias("anchors"))
+
+
+def anchors_native(pages: DataFrame) -> DataFrame:
+    """The same as rows ``page_id, url, pos, href, text``."""
+    rows = anchor_array_native(pages).select("page_id", "url", F.explode("anchors").alias("a"))
+    return rows.select("page_id", "url", "a.pos", "a.href", "a.text")

@@ -13,28 +13,27 @@ from pyspark.sql.types import StructType
 from pagewright.functions import html as H
 from pagewright.functions import text as T
 from pagewright.functions import url as U
+from pagewright.operators import links as L
+from pagewright.operators.dedup import first_in_array
 from pagewright.providers import AI_FALLBACK, ai_fields
 from pagewright.schemas import AI_FIELDS, COURSE_COLUMNS
 
 
-def _first_of(links, key: str):
-    """An array of structs without later ones of the same key; small, one page's links."""
-    return F.filter(links, lambda x, i: ~F.exists(F.slice(links, F.lit(1), i), lambda y: y[key] == x[key]))
-
-
 def manual_fields(pages: DataFrame) -> DataFrame:
     """``page_id, url, course_code, course_title, semester, year, all_files, all_internal_links, manual_page_type``."""
     rows = H.parsed(pages)
-    text, anchors = F.col("parsed.visible"), F.filter("parsed.anchors", lambda a: a["href"] != "")
-    full = lambda a: F.struct(U.join(F.col("url"), a["href"]).alias("href"), a["text_spaced"].alias("text"))
-    files = F.filter(F.transform(anchors, full), lambda a: U.is_course_file(a["href"]))
-    inside = F.filter(F.transform(F.filter(anchors, lambda a: ~U.page_skips(a["href"])), full), lambda a: U.scheme(a["href"]).isin("http", "https") & U.same_domain(a["href"], U.netloc(F.col("url"))))
+    text, anchors = F.col("parsed.visible"), F.col("parsed.anchors")
+    files = L.listed(anchors, F.col("url"), lambda a: F.lit(True), lambda a, source: U.is_course_file(a["href"]))
+    same = lambda a, source: U.scheme(a["href"]).isin("http", "https") & U.same_domain(a["href"], U.netloc(source))
+    inside = L.listed(anchors, F.col("url"), lambda a: ~U.page_skips(a["href"]), same)
     rows = rows.select(
         "page_id", "url", text.alias("visible"), T.course_code(text).alias("course_code"),
         T.page_title(F.col("parsed.h1"), F.col("parsed.h2"), F.col("parsed.title")).alias("course_title"), T.semester(text).alias("semester"),
         T.first_year(text).alias("year"), files.alias("all_files"), inside.alias("all_internal_links"), F.col("parsed.blocks").alias("blocks"),
     )
-    rows = rows.withColumns({"all_files": _first_of(F.col("all_files"), "href"), "all_internal_links": _first_of(F.col("all_internal_links"), "href")})
+    for name in ("all_files", "all_internal_links"):
+        rows = first_in_array(rows, name, lambda a: a["href"])
+        rows = rows.withColumn(name, F.transform(name, lambda a: F.struct(a["href"].alias("href"), a["text"].alias("text"))))
     kind = T.page_type(F.col("visible"), F.col("course_code"), F.col("semester"), F.col("year"), F.col("all_files"), F.col("blocks"))
     return rows.withColumn("manual_page_type", kind).drop("visible", "blocks")
 

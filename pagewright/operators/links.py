@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import html
 from pagewright.functions import url as U
-from pagewright.operators.dedup import first_in_page
+from pagewright.operators.dedup import first_in_array
 
 
 def anchors(pages: DataFrame, context: bool = False) -> DataFrame:
@@ -23,46 +25,88 @@ def resolved(rows: DataFrame) -> DataFrame:
     return kept.where(~U.is_file(F.col("url")))
 
 
+def _resolved(items: Column, source: Column) -> Column:
+    """Rules 1 to 7 within a page's array of anchors: structs of the anchor ``a`` and its ``url``."""
+    lead = F.filter(items, lambda a: (a["href"] != "") & ~U.leads_nowhere(a["href"]))
+    joined = F.transform(lead, lambda a: F.struct(a.alias("a"), U.join(source, a["href"]).alias("url")))
+    web = F.filter(joined, lambda x: U.scheme(x["url"]).isin("http", "https"))
+    plain = F.transform(web, lambda x: F.struct(x["a"].alias("a"), U.without_fragment(x["url"]).alias("url")))
+    return F.filter(plain, lambda x: ~U.is_file(x["url"]))
+
+
+def _first_links(rows: DataFrame, anchors: str) -> DataFrame:
+    """Pages ``page_id, source_url`` with their ``links`` by rules 1 to 8."""
+    found = rows.withColumn("links", _resolved(F.col(anchors), F.col("source_url")))
+    return first_in_array(found, "links", lambda x: U.anchor_key(x["url"]))
+
+
 def page_links(pages: DataFrame, context: bool = False) -> DataFrame:
     """L1: the anchors of each page by rules 1 to 8, with ``tag`` = a."""
-    return first_in_page(resolved(anchors(pages, context)), [U.anchor_key(F.col("url"))], ["pos"]).withColumn("tag", F.lit("a"))
+    rows = html.parsed(pages, context).select("page_id", F.col("url").alias("source_url"), F.col("parsed.anchors").alias("anchors"))
+    rows = _first_links(rows, "anchors").select("page_id", "source_url", F.explode("links").alias("l"))
+    fields = ["pos", "href", "text", "title", "text_spaced", "html_context"]
+    return rows.select("page_id", "source_url", *[f"l.a.{f}" for f in fields], "l.url", F.lit("a").alias("tag"))
 
 
 def page_links_native(pages: DataFrame) -> DataFrame:
     """L1 for regular html, all in the JVM."""
-    rows = html.anchors_native(pages).withColumnRenamed("url", "source_url").where("href <> ''")
-    return first_in_page(resolved(rows), [U.anchor_key(F.col("url"))], ["pos"])
+    rows = html.anchor_array_native(pages).withColumnRenamed("url", "source_url")
+    rows = _first_links(rows, "anchors").select("page_id", "source_url", F.explode("links").alias("l"))
+    return rows.select("page_id", "source_url", "l.a.pos", "l.a.href", "l.a.text", "l.url")
 
 
-def resource_links(pages: DataFrame) -> DataFrame:
-    """Urls of other tags, unless an anchor of the page has them; the first of equals in tag order."""
-    both = html.parsed(pages).select("page_id", F.col("url").alias("source_url"), "parsed")
-    rows = both.select("page_id", "source_url", F.explode("parsed.resources").alias("r")).select("page_id", "source_url", "r.*")
-    rows = rows.withColumn("url", U.join(F.col("source_url"), F.col("href")))
-    taken = both.select("page_id", "source_url", F.explode("parsed.anchors").alias("a")).select("page_id", "source_url", "a.pos", "a.href").where("href <> ''")
-    taken = resolved(taken).select("page_id", F.explode(F.array("url", U.https(F.col("url")))).alias("url")).distinct()
-    return first_in_page(rows.join(taken, ["page_id", "url"], "left_anti"), ["url"], ["tag_order", "pos"])
+def extracted_links(pages: DataFrame) -> DataFrame:
+    """The links of each page, anchors before other tags, numbered by ``pos`` in that order.
+
+    Urls of other tags stay unless an anchor of the page has them; of equals the first in tag order.
+    A page is parsed once, and its links never leave its row before they are whole.
+    """
+    rows = html.parsed(pages).select("page_id", F.col("url").alias("source_url"), F.col("parsed.anchors").alias("anchors"), F.col("parsed.resources").alias("resources"))
+    rows = rows.withColumn("resolved", _resolved(F.col("anchors"), F.col("source_url")))
+    rows = first_in_array(rows.withColumn("links", F.col("resolved")), "links", lambda x: U.anchor_key(x["url"]))
+
+    def item(tag: Column, order: Column, pos: Column, href: Column, text: Column, title: Column, url: Column) -> Column:
+        values = zip(("tag_order", "pos", "tag", "href", "text", "title", "url"), (order, pos, tag, href, text, title, url), strict=True)
+        return F.struct(*[value.alias(name) for name, value in values])
+
+    anchor = lambda x, url: item(F.lit("a"), F.lit(-1), x["a"]["pos"], x["a"]["href"], x["a"]["text"], x["a"]["title"], url)
+    taken = F.concat(F.transform("resolved", lambda x: anchor(x, x["url"])), F.transform("resolved", lambda x: anchor(x, U.https(x["url"]))))
+    other = F.transform("resources", lambda r: item(r["tag"], r["tag_order"], r["pos"], r["href"], r["text"], r["title"], U.join(F.col("source_url"), r["href"])))
+    own = F.transform("links", lambda x: anchor(x, x["url"]))
+    rows = rows.select("page_id", "source_url", own.alias("own"), F.concat(taken, F.sort_array(other)).alias("all"))
+    rows = first_in_array(rows, "all", lambda x: x["url"])
+    whole = F.concat("own", F.filter("all", lambda x: x["tag_order"] >= 0))
+    rows = rows.select("page_id", "source_url", F.posexplode(whole).alias("pos", "l"))
+    return rows.select("page_id", "source_url", "l.tag", "pos", "l.href", "l.text", "l.title", "l.url")
 
 
-def extracted_links(pages: DataFrame) -> DataFrame:
-    """The links of each page, anchors before other tags, numbered by ``pos`` in that order."""
-    columns = ["page_id", "source_url", "tag", "tag_order", "pos", "href", "text", "title", "url"]
-    both = page_links(pages).withColumn("tag_order", F.lit(-1)).select(*columns).unionByName(resource_links(pages).select(*columns))
-    place = F.row_number().over(Window.partitionBy("page_id").orderBy("tag_order", "pos")) - 1
-    return both.withColumn("pos", place).drop("tag_order")
+def resource_links(pages: DataFrame) -> DataFrame:
+    """The links of other tags than anchors."""
+    return extracted_links(pages).where("tag <> 'a'")
 
 
 def page_files(pages: DataFrame) -> DataFrame:
     """Downloadable files of each page, first of equals: ``page_id, pos, href, text``."""
-    rows = anchors(pages).withColumn("href", U.join(F.col("source_url"), F.col("href"))).where(U.is_course_file(F.col("href")))
-    return first_in_page(rows, ["href"], ["pos"]).select("page_id", "pos", "href", F.col("text_spaced").alias("text"))
+    return _listed(pages, lambda a: F.lit(True), lambda a, source: U.is_course_file(a["href"]))
 
 
 def internal_links(pages: DataFrame) -> DataFrame:
     """Links within the page's host; fragments and files stay."""
-    rows = anchors(pages).where(~U.page_skips(F.col("href"))).withColumn("href", U.join(F.col("source_url"), F.col("href")))
-    rows = rows.where(U.scheme(F.col("href")).isin("http", "https") & U.same_domain(F.col("href"), U.netloc(F.col("source_url"))))
-    return first_in_page(rows, ["href"], ["pos"]).select("page_id", "pos", "href", F.col("text_spaced").alias("text"))
+    inside = lambda a, source: U.scheme(a["href"]).isin("http", "https") & U.same_domain(a["href"], U.netloc(source))
+    return _listed(pages, lambda a: ~U.page_skips(a["href"]), inside)
+
+
+def listed(anchors: Column, source: Column, before: Callable, after: Callable) -> Column:
+    """Structs ``pos, href, text`` of a page's anchors that pass ``before``, made absolute, and then ``after``."""
+    lead = F.filter(anchors, lambda a: (a["href"] != "") & before(a))
+    full = F.transform(lead, lambda a: F.struct(a["pos"].alias("pos"), U.join(source, a["href"]).alias("href"), a["text_spaced"].alias("text")))
+    return F.filter(full, lambda a: after(a, source))
+
+
+def _listed(pages: DataFrame, before: Callable, after: Callable) -> DataFrame:
+    rows = html.parsed(pages).select("page_id", F.col("url").alias("source_url"), F.col("parsed.anchors").alias("anchors"))
+    rows = rows.withColumn("found", listed(F.col("anchors"), F.col("source_url"), before, after))
+    return first_in_array(rows, "found", lambda a: a["href"]).select("page_id", F.explode("found").alias("a")).select("page_id", "a.pos", "a.href", "a.text")
 
 
 def with_site(links: DataFrame, domain) -> DataFrame:

@@ -36,7 +36,7 @@ def test_links_of_a_page(spark):
     pages = spark.createDataFrame([(1, "http://h/d/p.html", PAGE), (2, "https://h/", None)], "page_id long, url string, html string")
     rows = L.page_links(pages).orderBy("pos").collect()
     assert [(r.url, r.text, r.tag) for r in rows] == [("http://h/a", "Ab", "a")]
-    resources = L.resource_links(pages).orderBy("tag_order", "pos").collect()
+    resources = L.resource_links(pages).orderBy("pos").collect()
     assert [r.url for r in resources] == ["http://h/d/i.ico", "data:x", "http://h/i.png", "http://h/fr", "http://h/area", "http://h/go", "http://h/p", "http://h/base/", "http://h/v.mp4", "http://h/e2"]
     assert L.internal_links(pages).count() == 3
 
