@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright import scratch
 from pagewright.schemas import BUCKETS
 
 
@@ -33,7 +34,7 @@ def pipeline_summary(rows: DataFrame) -> DataFrame:
     return rows.agg(
         F.count("*").alias("attempted"), F.count_if(done).alias("processed"), F.count_if(~done).alias("failed"), F.count_if(F.col("conflict_flag")).alias("conflicts"),
         F.count_if(F.col("recheck_needed")).alias("recheck"), F.count_if(F.col("is_useful")).alias("useful"), F.count_if(done & ~F.col("is_useful")).alias("not_useful"),
-        F.count_if(F.col("has_syllabus_or_logistics") & ~F.col("has_notes")).alias("syllabus_only"),
+        F.count_if(F.col("has_syllabus_or_logistics") & ~F.col("is_useful")).alias("syllabus_only"),
     )
 
 
@@ -51,12 +52,22 @@ def cache_stats(links: DataFrame, size: int) -> DataFrame:
 
 
 def error_runs(events: DataFrame) -> DataFrame:
-    """Errors of each key since its last success, after each of its events ``(key, n, ok)``."""
-    by_key = Window.partitionBy("key").orderBy("n")
-    run = F.sum(F.col("ok").cast("long")).over(by_key)
-    rows = events.withColumn("run", run)
-    so_far = Window.partitionBy("key", "run").orderBy("n")
-    return rows.withColumn("errors", F.sum((~F.col("ok")).cast("long")).over(so_far)).drop("run")
+    """Errors of each key since its last success, after each of its events ``(key, n, ok)``.
+
+    Events are dealt by ranges of key and n and counted inside each range; a row a range and key then
+    tells what the ranges before it leave over. So few keys do not mean few tasks.
+    """
+    dealt = scratch.table(events.repartitionByRange("key", "n").withColumn("_range", F.spark_partition_id()), "stats-events")
+    so_far = Window.partitionBy("_range", "key").orderBy("n")
+    rows = dealt.withColumn("_all", F.sum((~F.col("ok")).cast("long")).over(so_far))
+    rows = rows.withColumn("_cleared", F.max(F.when(F.col("ok"), F.col("_all"))).over(so_far))
+    tails = rows.groupBy("key", "_range").agg(F.max("_all").alias("_all"), F.max("_cleared").alias("_cleared"))
+    reset = Window.partitionBy("key").orderBy("_range")
+    tails = tails.withColumn("_run", F.count("_cleared").over(reset)).withColumn("_left", F.col("_all") - F.coalesce("_cleared", F.lit(0)))
+    tails = tails.withColumn("_out", F.sum("_left").over(Window.partitionBy("key", "_run").orderBy("_range")))
+    tails = tails.select("key", "_range", F.coalesce(F.lag("_out").over(reset), F.lit(0)).alias("_before"))
+    errors = F.col("_all") - F.coalesce("_cleared", -F.col("_before"))
+    return rows.join(tails, ["key", "_range"]).withColumn("errors", errors).select(*events.columns, "errors")
 
 
 def key_stats(events: DataFrame) -> DataFrame:
@@ -75,3 +86,25 @@ def resolve_check(rows: DataFrame) -> DataFrame:
         F.countDistinct(F.when(both, F.struct("course_code", "course_title"))).alias("n_pairs"), F.countDistinct("component").alias("n_groups"),
     )
     return found.withColumn("consistent", (F.col("n_codes") == F.col("n_titles")) & (F.col("n_titles") == F.col("n_pairs")) & (F.col("n_pairs") == F.col("n_groups")))
+
+
+def head(rows: DataFrame, order: list[str], n: int = 20) -> DataFrame:
+    """The first ``n`` rows, to be looked at."""
+    return rows.orderBy(*order).limit(n)
+
+
+def displayed(rows: DataFrame, column: str, order: list[str], cap: int = 20) -> DataFrame:
+    """``(place, line)``: the first ``cap`` values, and one line that tells how many more there are."""
+    first = rows.orderBy(*order).limit(cap).withColumn("place", F.row_number().over(Window.orderBy(*order)))
+    more = rows.agg((F.count("*") - cap).alias("n")).where("n > 0")
+    rest = more.select(F.lit(cap + 1).alias("place"), F.concat(F.lit("... and "), F.col("n").cast("string"), F.lit(" more")).alias("line"))
+    return first.select("place", F.col(column).alias("line")).unionByName(rest)
+
+
+def crawl_summary(links: DataFrame, caps: tuple = (("course_page", 5), ("course_relevant", 3), ("file", 5), ("inaccessible", 5))) -> DataFrame:
+    """``(bucket, place, line)`` of a crawl's lists ``(bucket, url, depth, page_id, pos)``, as far as a summary shows them."""
+    out = None
+    for bucket, cap in caps:
+        part = displayed(links.where(F.col("bucket") == bucket), "url", ["depth", "page_id", "pos", "url"], cap).withColumn("bucket", F.lit(bucket))
+        out = part if out is None else out.unionByName(part)
+    return out.select("bucket", "place", "line")
