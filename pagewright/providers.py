@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import re
 import time
+import urllib.request
 from dataclasses import dataclass, field
 
 from pagewright.config import DEFAULT, Settings
@@ -21,6 +22,10 @@ AI_FALLBACK = {
 }
 
 
+#: Closing braces that a cut answer may lack.
+MAX_BRACES = 5
+
+
 class HeuristicProvider:
     """Answers from rules, as JSON text like a model's, so that parsing is exercised offline."""
 
@@ -51,11 +56,111 @@ class HeuristicProvider:
         return json.dumps({"extracted_items": [], "special_marks": []})
 
 
+# What a model is asked; the fields of its answers are those that the parsers read.
+PROMPTS = {
+    "classify_batch": "Classify each link of a university site. Answer with a JSON array that has one object for each link, in order, with the fields "
+    "is_back_link, is_course_page, is_course_relevant (true or false), confidence (0 to 1) and reasoning.\n\nLinks:\n{{links}}",
+    "classify": "Classify this link of a university site. Answer with a JSON object with the fields is_back_link, is_course_page, is_course_relevant "
+    "(true or false), confidence (0 to 1) and reasoning.\n\nUrl: {{url}}\nText: {{text}}",
+    "verify": "Is this the page of one course? Answer with a JSON object with the fields is_course_page, confidence, course_code, course_name, semester, "
+    "reasoning and has_other_course_links.\n\nUrl: {{url}}\n\n{{content}}",
+    "enrich": "Complete what was read from a course page. Answer with a JSON object with the fields page_type, confidence, ai_reasoning, course_code, "
+    "course_title, semester, year, has_notes, notes_type, notes_details, further_course_related_data_present, has_syllabus_or_logistics and is_useful."
+    "\n\nRead so far:\n{{fields}}\n\nPage:\n{{html}}",
+    "materials": "List the learning materials in this part of a page. Answer with a JSON object with the field extracted_items, an array of objects with the "
+    "fields item_type, title, snippet, file_url and confidence.\n\n{{chunk}}",
+}
+
+
+def batch_prompt(links: list[dict], template: str = PROMPTS["classify_batch"]) -> str:
+    """M2: the links of a batch, numbered from 1, in the template."""
+    listed = [f"{k}. Url: {link.get('url') or ''}\n   Text: {link.get('text') or ''}" for k, link in enumerate(links, 1)]
+    return render(template, {"links": "\n".join(listed)})
+
+
+@dataclass
+class HttpProvider:
+    """A chat endpoint that takes and gives JSON (``messages`` and ``choices``); a time-out raises ``TimeoutError``.
+
+    ``post(url, body, headers, timeout_s) -> bytes`` sends a request; by default the standard library does.
+    """
+
+    endpoint: str
+    model: str
+    keys: KeyRing
+    settings: Settings = DEFAULT
+    prompts: dict[str, str] = field(default_factory=lambda: dict(PROMPTS))
+    post: object = None
+
+    def ask(self, prompt: str) -> str:
+        key = self.keys.next()
+        body = json.dumps({"model": self.model, "messages": [{"role": "user", "content": prompt}], "temperature": 0, "stream": False}).encode()
+        headers = {"Content-Type": "application/json", "Accept": "application/json", "Authorization": f"Bearer {key}"}
+        try:
+            answer = json.loads((self.post or post_json)(self.endpoint, body, headers, self.settings.batch_timeout_s))
+            text = answer["choices"][0]["message"]["content"]
+        except Exception:
+            self.keys.report(key, False)
+            raise
+        self.keys.report(key, True)
+        return text
+
+    def classify_batch(self, links: list[dict]) -> str:
+        return self.ask(batch_prompt(links, self.prompts["classify_batch"]))
+
+    def classify(self, link: dict) -> str:
+        return self.ask(render(self.prompts["classify"], {"url": link.get("url") or "", "text": link.get("text") or ""}))
+
+    def verify(self, url: str, content: str) -> str:
+        return self.ask(render(self.prompts["verify"], {"url": url, "content": content}))
+
+    def enrich(self, page: dict) -> str:
+        fields = {k: v for k, v in page.items() if k not in ("html", "page_id")}
+        return self.ask(render(self.prompts["enrich"], {"fields": json.dumps(fields, default=str), "html": (page.get("html") or "")[: self.settings.content_chars]}))
+
+    def materials(self, chunk: str) -> str:
+        return self.ask(render(self.prompts["materials"], {"chunk": chunk}))
+
+
+def post_json(url: str, body: bytes, headers: dict, timeout_s: float) -> bytes:
+    request = urllib.request.Request(url, data=body, headers=headers)
+    with urllib.request.urlopen(request, timeout=timeout_s) as answer:
+        return answer.read()
+
+
+@dataclass
+class HttpFetch:
+    """A page's text by GET; errors of any kind are raised. Without a stated encoding it is found from the bytes."""
+
+    timeout_s: float = DEFAULT.timeout_s
+    agent: str = "Mozilla/5.0 (compatible; pagewright)"
+    open: object = None
+
+    def __call__(self, url: str) -> str:
+        request = urllib.request.Request(url, headers={"User-Agent": self.agent})
+        with (self.open or urllib.request.urlopen)(request, timeout=self.timeout_s) as answer:
+            return decoded(answer.read(), answer.headers.get_content_charset())
+
+
+def decoded(data: bytes, stated: str | None = None) -> str:
+    """Text of a page: by its byte order mark, the stated encoding, its own ``charset``, UTF-8, or else Windows-1252."""
+    own = re.search(rb"charset=[\"']?([A-Za-z0-9_.:-]+)", data[:4096])
+    marked = "utf-8-sig" if data.startswith(b"\xef\xbb\xbf") else "utf-16" if data[:2] in (b"\xff\xfe", b"\xfe\xff") else None
+    for name in (marked, stated, own and own[1].decode(), "utf-8"):
+        try:
+            if name:
+                return data.decode(name)
+        except (UnicodeDecodeError, LookupError):
+            continue
+    return data.decode("cp1252", "replace")
+
+
 @dataclass
 class RetryingProvider:
     """Wraps a provider: retries after time-outs with linear waits, and keeps to a pace.
 
-    ``sleep`` is a parameter, so that tests need not wait. Errors other than time-outs are not retried.
+    Calls follow each other by ``batch_gap_s`` (batches) or ``delay_s`` at least. ``sleep`` is a
+    parameter, so that tests need not wait. Errors other than time-outs are not retried.
     """
 
     inner: object
@@ -65,6 +170,8 @@ class RetryingProvider:
     calls: int = 0
 
     def call(self, method: str, *args) -> str:
+        if self.calls:
+            self.sleep(self.settings.batch_gap_s if method == "classify_batch" else self.settings.delay_s)
         for attempt in range(self.settings.max_retries + 1):
             try:
                 self.calls += 1
@@ -75,6 +182,21 @@ class RetryingProvider:
                 self.sleep(self.wait_s * (attempt + 1))
         raise AssertionError
 
+    def classify_batch(self, links: list[dict]) -> str:
+        return self.call("classify_batch", links)
+
+    def classify(self, link: dict) -> str:
+        return self.call("classify", link)
+
+    def verify(self, url: str, content: str) -> str:
+        return self.call("verify", url, content)
+
+    def enrich(self, page: dict) -> str:
+        return self.call("enrich", page)
+
+    def materials(self, chunk: str) -> str:
+        return self.call("materials", chunk)
+
 
 @dataclass
 class KeyRing:
@@ -87,14 +209,15 @@ class KeyRing:
 
     @classmethod
     def from_settings(cls, values: dict[str, str], name: str = "API_KEY") -> KeyRing:
-        """A comma list wins; else the single key and numbered ones up to the first gap, without repeats."""
+        """A comma list wins as it stands, repeats and all; else the single key and numbered ones up to the first gap, without repeats."""
         listed = [k.strip() for k in values.get(f"{name}S", "").split(",") if k.strip()]
-        if not listed:
-            listed = [values[name].strip()] if values.get(name, "").strip() else []
-            i = 1
-            while values.get(f"{name}_{i}", "").strip():
-                listed.append(values[f"{name}_{i}"].strip())
-                i += 1
+        if listed:
+            return cls(listed)
+        listed = [values[name].strip()] if values.get(name, "").strip() else []
+        i = 1
+        while values.get(f"{name}_{i}", "").strip():
+            listed.append(values[f"{name}_{i}"].strip())
+            i += 1
         return cls(list(dict.fromkeys(listed)))
 
     def next(self) -> str:
@@ -122,29 +245,44 @@ class KeyRing:
         return {"total_keys": len(self.keys), "total_requests": requests, "total_errors": errors, "usage_per_key": dict(self.requests), "error_rate": errors / requests if requests else 0.0}
 
 
+def _missing_braces(text: str) -> int:
+    """How many objects are open where a JSON text ends; 0 if it ends inside a string or an array."""
+    depth, quoted, at = [], False, 0
+    while at < len(text):
+        ch = text[at]
+        if quoted:
+            at += ch == "\\"
+            quoted = ch != '"'
+        elif ch == '"':
+            quoted = True
+        elif ch in "{[":
+            depth.append(ch)
+        elif ch in "}]" and depth:
+            depth.pop()
+        at += 1
+    return 0 if quoted or "[" in depth else len(depth)
+
+
 def parse_json_ladder(text: str) -> dict:
-    """The answer itself, without fences, its outermost braces, or with braces added; else ``ValueError``."""
+    """The JSON of an answer; else ``ValueError``.
 
-    def load(value: str):
+    Taken in turn: all of it, what a code fence holds, from the first brace to the last, and from the
+    first brace on with up to ``MAX_BRACES`` closing ones added.
+    """
+    bare = "".join(line for line in re.split(r"(```(?:json)?)", text) if not line.startswith("```")).strip(" \n\r\t`")
+    first, last = bare.find("{"), bare.rfind("}")
+    attempts = [text, bare]
+    if first >= 0:
+        attempts.append(bare[first : last + 1])
+        missing = _missing_braces(bare[first:])
+        if missing <= MAX_BRACES:
+            attempts.append(bare[first:] + "}" * missing)
+    for attempt in attempts:
         try:
-            return json.loads(value)
-        except json.JSONDecodeError as error:
-            return error
-
-    plain = re.sub(r"```(?:json)?\s*", "", text).strip().rstrip("`").strip()
-    braces = re.search(r"\{.*\}", plain, re.DOTALL)
-    for candidate in (text, plain, braces.group(0) if braces else None):
-        if candidate is not None and not isinstance(found := load(candidate), json.JSONDecodeError):
-            return found
-    rest = plain[plain.find("{") :] if "{" in plain else None
-    for _ in range(5 if rest is not None else 0):
-        found = load(rest)
-        if not isinstance(found, json.JSONDecodeError):
-            return found
-        if "Expecting" not in found.msg and "Unterminated" not in found.msg:
-            break
-        rest += "}"
-    raise ValueError(f"no JSON in {text[:400]!r}")
+            return json.loads(attempt)
+        except ValueError:
+            continue
+    raise ValueError(f"an answer without JSON: {text[:400]!r}")
 
 
 def ai_fields(answer: str | None) -> dict:

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagewright.providers import HttpFetch
 from pagewright.schemas import CLASSIFICATION, PAGES
 
 # Other names of the columns of course rows.
@@ -22,11 +23,13 @@ def pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGES).parquet(path)
 
 
-def fetched(urls: DataFrame, fetch, retries: int = 2, wait_s: float = 1.5, sleep=None) -> DataFrame:
-    """``url, html, error`` by a picklable ``fetch(url) -> str``; ``retries`` more tries with linear waits, then null.
+def fetched(urls: DataFrame, fetch=None, retries: int = 2, wait_s: float = 1.5, sleep=None, delay_s: float = 0.0) -> DataFrame:
+    """``url, html, error`` by a picklable ``fetch(url) -> str`` (HTTP by default); ``retries`` more tries with linear waits, then null.
 
-    One function call set-up a partition (sessions belong into ``fetch``'s own state).
+    One function call set-up a partition (sessions belong into ``fetch``'s own state); urls of a
+    partition follow each other by ``delay_s``.
     """
+    fetch = fetch or HttpFetch()
 
     def call(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import time
@@ -36,6 +39,8 @@ def fetched(urls: DataFrame, fetch, retries: int = 2, wait_s: float = 1.5, sleep
             html, error = [], []
             for url in batch.column(0).to_pylist():
                 page, why = None, None
+                if delay_s:
+                    pause(delay_s)
                 for attempt in range(retries + 1):
                     try:
                         page, why = fetch(url), None
@@ -71,10 +76,8 @@ def course_rows(spark: SparkSession, path: str) -> DataFrame:
 
 def first_existing(spark: SparkSession, paths: list[str]) -> str:
     """The first path that exists; ``FileNotFoundError`` if none does."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        if at.getFileSystem(conf).exists(at):
+        if exists(spark, path):
             return path
     raise FileNotFoundError(", ".join(paths))
 
@@ -93,6 +96,11 @@ def cache(spark: SparkSession, path: str) -> DataFrame:
         return empty.select("cache_key", "record.*")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def crawl_course_pages(spark: SparkSession, path: str) -> DataFrame:
     """Urls of a crawl result's course pages."""
     text = spark.read.text(path, wholetext=True)
