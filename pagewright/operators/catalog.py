@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright import scratch
 from pagewright.config import DEFAULT, Settings
 from pagewright.functions import html as H
 from pagewright.functions import text as T
@@ -38,17 +39,22 @@ def year_of(row_year, term, current_year: int):
     return T.year_int(F.coalesce(T.null_if_empty(row_year), T.null_if_empty(term)), current_year)
 
 
-def indexed(rows: DataFrame, settings: Settings = DEFAULT, pages: DataFrame | None = None) -> DataFrame:
+def facts(pages: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """What a catalogue needs of each page, parsed once: ``page_id, url, page_year, anchors, code``."""
+    year = T.year_int(F.col("parsed.visible"), settings.current_year)
+    return scratch.table(H.parsed(pages).select("page_id", "url", year.alias("page_year"), "parsed.anchors", "parsed.code"), "catalog-facts")
+
+
+def indexed(rows: DataFrame, settings: Settings = DEFAULT, years: DataFrame | None = None) -> DataFrame:
     """Rows of each group by year, newest first, and their 1-based index.
 
-    With ``pages``, rows without a year take the latest year in their page's text, for the order only.
+    With ``years`` (``url, page_year``), rows without a year take the latest year in their page's text, for the order only.
     """
     groups = grouped(rows)
     year = year_of(F.col("year"), F.col("semester"), settings.current_year)
     groups = groups.withColumn("year_int", year)
-    if pages is not None:
-        text = H.parsed(pages.select("url", "html")).select("url", T.year_int(F.col("parsed.visible"), settings.current_year).alias("page_year"))
-        groups = groups.join(text, "url", "left").withColumn("year_int", F.coalesce(F.when(F.col("year_int") > 0, F.col("year_int")), "page_year", F.lit(0))).drop("page_year")
+    if years is not None:
+        groups = groups.join(years.select("url", "page_year"), "url", "left").withColumn("year_int", F.coalesce(F.when(F.col("year_int") > 0, F.col("year_int")), "page_year", F.lit(0))).drop("page_year")
     order = Window.partitionBy("group_type", "group_key").orderBy(F.desc("year_int"), "idx")
     out = groups.withColumn("index", F.row_number().over(order))
     return out.withColumns({c: T.null_if_empty(T.safe_text(F.col(c))) for c in FIELDS[1:]})
@@ -61,9 +67,8 @@ def group_order(rows: DataFrame, limit: int = 0) -> DataFrame:
     return ordered.limit(limit) if limit > 0 else ordered
 
 
-def materials(pages: DataFrame) -> DataFrame:
-    """X11, D-6: ``page_id, url, pos, item_type, title, snippet, file_url, confidence`` of each page, first of equals."""
-    rows = H.parsed(pages).select("page_id", "url", "parsed.anchors", "parsed.code")
+def materials(rows: DataFrame) -> DataFrame:
+    """X11, D-6: ``page_id, url, pos, item_type, title, snippet, file_url, confidence`` of each page of ``facts``, first of equals."""
     links = rows.select("page_id", "url", F.explode("anchors").alias("a")).select("page_id", "url", "a.pos", "a.href", F.col("a.text_spaced").alias("text"))
     links = links.where((F.col("href") != "") & ~U.material_skips(F.col("href"))).withColumn("file_url", U.join(F.col("url"), F.col("href")))
     links = links.where(U.is_material_file(F.col("file_url"))).withColumn("item_type", T.material_type(F.col("text"), F.col("file_url"))).where("item_type is not null")
@@ -112,10 +117,11 @@ def rendered(index: DataFrame, items: DataFrame) -> DataFrame:
     """``group_type, group_key, file, markdown`` of every group.
 
     ``index``: rows of ``indexed``; ``items``: ``group_type, group_key, index, pos, item_type, title, description?, snippet, file_url``.
-    A page's items become text where they are; only finished sections meet in a group.
+    A page's items become text where they are; only finished sections meet in a group. Items of
+    other kinds, or of none, are not shown, but their page is no page without materials.
     """
     ranks = {kind: i for i, kind in enumerate(T.ITEM_ORDER)}
-    rank = F.element_at(F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair]), F.coalesce("item_type", F.lit("unknown")))
+    rank = F.element_at(F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair]), F.col("item_type"))
     long = F.col("description") if "description" in items.columns else F.lit(None).cast("string")
     name = T.display_title(F.col("title"), F.col("file_url"))
     link = F.coalesce(F.col("file_url"), F.lit(""))
@@ -124,11 +130,11 @@ def rendered(index: DataFrame, items: DataFrame) -> DataFrame:
         F.when(link != "", F.concat(F.lit("#### ["), name, F.lit("]("), link, F.lit(")\n"))).otherwise(F.concat(F.lit("#### "), name, F.lit("\n"))),
         F.when(said != "", F.concat(F.lit("> "), said, F.lit("\n"))).otherwise(""), F.lit("\n"),
     )
-    lines = items.withColumns({"rank": rank, "line": line}).where("rank is not null")
+    lines = items.withColumns({"rank": rank, "line": line})
     keys = ["group_type", "group_key", "index"]
     sections = lines.groupBy(*keys, "rank").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "").alias("body"))
     label = F.element_at(F.array(*[F.lit(T.ITEM_LABELS[k]) for k in T.ITEM_ORDER]), F.col("rank") + 1)
-    sections = sections.withColumn("body", F.concat(F.lit("### "), label, F.lit("\n\n"), F.col("body")))
+    sections = sections.withColumn("body", F.when(F.col("rank").isNotNull(), F.concat(F.lit("### "), label, F.lit("\n\n"), F.col("body"))).otherwise(""))
     bodies = sections.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "body"))), lambda x: x["body"]), "").alias("body"))
     url = F.coalesce("url", F.lit(""))
     part = F.concat(
@@ -168,12 +174,13 @@ def generate(rows: DataFrame, pages: DataFrame, settings: Settings = DEFAULT, pr
     if limit:
         chosen = group_order(rows, limit).select("group_type", "group_key")
         rows = grouped(rows).join(chosen, ["group_type", "group_key"], "left_semi").select(*rows.columns)
-    index = indexed(rows, settings, pages)
-    found = materials(pages) if provider is None else materials_by_model(pages, provider, settings)
+    known = facts(pages, settings)
+    index = indexed(rows, settings, known)
+    found = materials(known) if provider is None else materials_by_model(pages, provider, settings)
     items = index.select("group_type", "group_key", "index", "url").join(found.drop("page_id"), "url")
     counts = items.groupBy("group_type", "group_key", "index").agg(F.count("*").alias("extracted_count"))
-    known = pages.where("html is not null and html <> ''").select("url", F.lit(True).alias("known")).distinct()
-    outcome = index.join(known, "url", "left").join(counts, ["group_type", "group_key", "index"], "left")
+    read = pages.where("html is not null and html <> ''").select("url", F.lit(True).alias("known")).distinct()
+    outcome = index.join(read, "url", "left").join(counts, ["group_type", "group_key", "index"], "left")
     unread = F.col("known").isNull()
     looked = year_of(F.col("year"), F.col("semester"), settings.current_year) == 0
     times = F.when(unread & looked, 2).otherwise(1)
