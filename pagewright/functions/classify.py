@@ -15,7 +15,7 @@ COURSE_URL = (
     "/course/", "/courses/", "/teaching/", "/class/", "syllabus", "curriculum", "lecture", "assignment", "fall", "spring", "summer", "winter",
     "/cs", "/math", "/phys", "/chem", "/bio",
 )
-COURSE_TEXT = ("course", "class", "lecture", "syllabus", "fall", "spring", "semester", "2023", "2024", "2025")
+COURSE_TEXT = ("course", "class", "lecture", "syllabus", "fall", "spring", "semester", "2024", "2023", "2025")
 INDICATOR_CODE = r"(?i)\b[A-Z]{2,4}[-_\s]?\d{3,4}\b"
 THRESHOLD = 0.5
 

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright import scratch
 from pagewright.config import DEFAULT, Settings
 from pagewright.functions import classify as C
 from pagewright.functions import url as U
@@ -43,7 +44,7 @@ def ask(links: DataFrame, provider, settings: Settings = DEFAULT, by: tuple = ("
     Batches never straddle pages and have at most ``batch_size`` links, so a group is small.
     """
     dealt = batches(links, settings.batch_size, list(by), list(order))
-    fields = [*by, "place", "url", "text"]
+    fields = [*by, *order, "place", "url", "text"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.select(*fields).schema) + ", response string"
 
     def call(table: pa.Table) -> pa.Table:
@@ -62,20 +63,24 @@ def ask(links: DataFrame, provider, settings: Settings = DEFAULT, by: tuple = ("
     record = F.element_at(C.parse_batch(F.col("response"), F.col("n")), (F.pmod("place", F.lit(settings.batch_size)) + 1).cast("int"))
     answered = answered.withColumn("record", record)
     flat = [F.coalesce(F.col(f"record.{c}"), other).alias(c) for c, other in zip(RECORD, (F.lit(False), F.lit(False), F.lit(False), F.lit(0.0), F.lit("Call failed")), strict=True)]
-    return answered.select(*by, "place", "url", "text", *flat, F.col("response").isNull().alias("error"), F.lit(False).alias("from_cache"))
+    return answered.select(*by, *order, "place", "url", "text", *flat, F.col("response").isNull().alias("error"), F.lit(False).alias("from_cache"))
 
 
 def filter_links(links: DataFrame, cache: DataFrame, provider, settings: Settings = DEFAULT, use_heuristics: bool = True) -> tuple[DataFrame, DataFrame]:
-    """unique links of each page by page-norm, in their bucket, and the statistics (A3)."""
-    unique = first_in_page(links.select("page_id", "pos", "url", "text"), [U.page_norm(F.col("url"))], ["pos"])
+    """unique links of each page by page-norm, in their bucket and with their place ``pos`` (J3), and the statistics (A3).
+
+    Links are written before they are judged, so that what finds them (a parse, it may be) runs once.
+    """
+    links = scratch.table(links.select("page_id", "pos", "url", "text"), "cache-links")
+    unique = scratch.table(first_in_page(links, [U.page_norm(F.col("url"))], ["pos"]), "cache-unique")
     back = C.is_back_link(F.col("url"), F.col("text")) if use_heuristics else F.lit(False)
     split = unique.withColumn("is_back", back)
     rest = split.where(~F.col("is_back")).drop("is_back")
-    known = hits(rest, cache).select("page_id", "url", *RECORD, "from_cache")
-    asked = ask(misses(rest, cache), provider, settings).select("page_id", "url", *RECORD, "from_cache")
+    known = hits(rest, cache).select("page_id", "pos", "url", *RECORD, "from_cache")
+    asked = ask(misses(rest, cache), provider, settings).select("page_id", "pos", "url", *RECORD, "from_cache")
     flags = [F.col(c) for c in RECORD[:4]]
     judged = known.unionByName(asked).withColumns({"bucket": C.bucket(*flags), "method": F.lit("model")})
-    easy = split.where("is_back").select("page_id", "url", F.lit("back_link").alias("bucket"), F.lit("heuristic").alias("method"))
+    easy = split.where("is_back").select("page_id", "pos", "url", F.lit("back_link").alias("bucket"), F.lit("heuristic").alias("method"))
     out = judged.unionByName(easy, allowMissingColumns=True)
     stats = out.groupBy().pivot("bucket", ["back_link", "course_page", "course_relevant", "irrelevant"]).count().na.fill(0)
     total = links.agg(F.count("*").alias("total"), (F.count("*") - F.countDistinct("page_id", U.page_norm(F.col("url")))).alias("duplicates_removed"))

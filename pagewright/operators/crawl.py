@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,7 +21,12 @@ from pagewright.operators import links as L
 from pagewright.operators.dedup import bucket_dedup, first_wins
 from pagewright.providers import parse_json_ladder
 from pagewright.schemas import VERIFICATION
+from pagewright.sources.tables import exists
 
+# Fixed value: the error of a page that could not be read for verification.
+VERIFICATION_FAILED = "Content verification failed – page may be inaccessible (forbidden or no response)"
+#: The error of a url that the page table does not hold.
+NO_PAGE = "no page"
 #: Buckets of links that are judged.
 JUDGED = ("back_link", "course_page", "course_relevant", "irrelevant")
 
@@ -43,36 +48,57 @@ def levels(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     return visited
 
 
-def crawl(pages: DataFrame, seeds: DataFrame, cache: DataFrame, provider, settings: Settings = DEFAULT, verify: bool = False) -> dict[str, DataFrame]:
+def crawl(pages: DataFrame, seeds: DataFrame, cache: DataFrame, provider, settings: Settings = DEFAULT, verify: bool = False, state: str | None = None) -> dict[str, DataFrame]:
     """Follow course-relevant links from the seeds ``(url)``; the result has ``links`` (by bucket, first wins), ``visited`` and ``inaccessible``,
     and the links of anchors and other tags as they were found: ``all_extracted``, ``external`` and ``files`` (with the page as
     ``parent_folder`` and ``parent_depth``), first wins each.
 
     With ``verify``, course pages are verified and what their pages link to is added (M10, a level below the page that links).
 
-    Pages come from a table; a url without a page, or with an ``error``, is inaccessible. Visited
-    urls are compared as they are written. A page at ``max_depth`` is read but not followed.
+    Pages come from a table; a url without a page, or whose page has an ``error`` instead of html, is
+    inaccessible (J7). Visited urls are compared as they are written. A page at ``max_depth`` is read
+    but not followed.
+
+    ``state`` names a folder that keeps every level as it is done; a crawl that was cut short goes on
+    from there (K2). Urls meet the page table as narrow rows first; html is read for a frontier alone.
     """
-    store = pages.withColumn("known", F.lit(True))
-    frontier = scratch.table(seeds.select("url").distinct().withColumn("depth", F.lit(0)), "crawl-frontier")
+    spark = pages.sparkSession
+
+    def stored(rows: Callable[[], DataFrame], label: str) -> DataFrame:
+        if state is None:
+            return scratch.table(rows(), f"crawl-{label}")
+        at = f"{state}/{label}"
+        if not exists(spark, f"{at}/_SUCCESS"):
+            rows().write.mode("overwrite").parquet(at)
+        return spark.read.parquet(at)
+
+    why = F.coalesce(F.col("error") if "error" in pages.columns else F.lit(None).cast("string"), F.lit(NO_PAGE))
+    index = stored(lambda: pages.select("url", "page_id", F.col("html").isNotNull().alias("readable"), F.when(F.col("html").isNull(), why).alias("error")), "index")
+    frontier = stored(lambda: seeds.select("url").distinct().withColumn("depth", F.lit(0)), "frontier-0")
     visited, found, missing, every = frontier, None, None, None
     domain = U.netloc(F.col("source_url"))
     for depth in range(settings.max_depth + 1):
-        here = frontier.join(store, "url", "left")
-        gone = here.where("known is null or html is null").select("url", F.lit("inaccessible").alias("bucket"), F.lit(depth).alias("depth"))
-        read = here.where("known is not null and html is not null").select("page_id", "url", "html")
-        extracted = scratch.table(L.with_site(L.extracted_links(read), domain).withColumn("depth", F.lit(depth)), "crawl-extracted")
+        here = stored(lambda: frontier.join(index, "url", "left"), f"here-{depth}")  # noqa: B023
+        gone = here.where("not coalesce(readable, false)")
+        gone = gone.select("url", F.lit("inaccessible").alias("bucket"), F.lit(depth).alias("depth"), F.coalesce("error", F.lit(NO_PAGE)).alias("error"))
+        wanted = here.where("readable").select("page_id", "url")
+        read = pages.select("page_id", "url", "html").join(wanted, ["page_id", "url"], "left_semi")
+        extracted = stored(lambda: L.with_site(L.extracted_links(read), domain).withColumn("depth", F.lit(depth)), f"extracted-{depth}")  # noqa: B023
         rows = extracted.where("not is_external and not is_file_link")
-        judged, _ = K.filter_links(rows.select("page_id", "pos", "url", "text"), cache, provider, settings)
-        placed = judged.join(rows.select("page_id", "url", "source_url", "pos", "text", "title"), ["page_id", "url"])
-        placed = scratch.table(placed.select("page_id", "pos", "url", "text", "title", "source_url", "bucket", "method", "confidence", F.lit(depth).alias("depth")), "crawl-links")
+
+        def judge() -> DataFrame:
+            judged, _ = K.filter_links(rows.select("page_id", "pos", "url", "text"), cache, provider, settings)  # noqa: B023
+            placed = judged.drop("pos").join(rows.select("page_id", "url", "source_url", "pos", "text", "title"), ["page_id", "url"])  # noqa: B023
+            return placed.select("page_id", "pos", "url", "text", "title", "source_url", "bucket", "method", "confidence", F.lit(depth).alias("depth"))  # noqa: B023
+
+        placed = stored(judge, f"links-{depth}")
         found = placed if found is None else found.unionByName(placed)
         missing = gone if missing is None else missing.unionByName(gone)
         every = extracted if every is None else every.unionByName(extracted)
         if depth == settings.max_depth:
             break
         onward = placed.where("bucket = 'course_relevant'").select("url").distinct()
-        frontier = scratch.table(onward.join(visited, "url", "left_anti").withColumn("depth", F.lit(depth + 1)), "crawl-frontier")
+        frontier = stored(lambda: onward.join(visited, "url", "left_anti").withColumn("depth", F.lit(depth + 1)), f"frontier-{depth + 1}")  # noqa: B023
         if frontier.isEmpty():
             break
         visited = visited.unionByName(frontier)
@@ -89,6 +115,7 @@ def crawl(pages: DataFrame, seeds: DataFrame, cache: DataFrame, provider, settin
     files = every.where("is_file_link").withColumns({"parent_folder": F.col("source_url"), "parent_depth": F.col("depth")})
     return {
         "links": links, "visited": visited, "inaccessible": first_wins(missing, [U.page_norm(F.col("url"))], ["depth"]),
+        **({"verified": checked} if verify else {}),
         "all_extracted": unique(every), "external": unique(every.where("is_external")), "files": unique(files),
     }
 
@@ -96,7 +123,7 @@ def crawl(pages: DataFrame, seeds: DataFrame, cache: DataFrame, provider, settin
 def verified(candidates: DataFrame, pages: DataFrame, provider, settings: Settings = DEFAULT) -> DataFrame:
     """M8, M9: candidates with ``action``: course_page, course_relevant (it has links), dropped or inaccessible."""
     wanted = candidates.select("url").distinct().join(pages.select("url", "page_id", "html"), "url", "left")
-    parsed = H.parsed(wanted)
+    parsed = scratch.table(H.parsed(wanted), "crawl-parsed")
     text = T.readable(F.col("parsed.readable"), settings.content_chars)
     ready = parsed.select("url", "html", text.alias("content"))
     schema = StructType.fromDDL(f"url string, answer {VERIFICATION}")
@@ -118,10 +145,16 @@ def verified(candidates: DataFrame, pages: DataFrame, provider, settings: Settin
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(answers, kind)], names=["url", "answer"])
 
     answered = ready.mapInArrow(call, schema)
-    n_links = L.page_links(wanted.where("html is not null")).groupBy(F.col("source_url").alias("url")).agg(F.count("*").alias("n_links"))
+    n_links = L.page_links(parsed.where("html is not null")).groupBy(F.col("source_url").alias("url")).agg(F.count("*").alias("n_links"))
     joined = candidates.join(answered, "url", "left").join(n_links, "url", "left")
     found = F.when(F.col("answer.has_other_course_links"), F.col("n_links"))
-    return joined.withColumn("action", C.verify_action(F.col("answer").isNotNull(), F.col("answer.is_course_page"), F.col("answer.confidence"), found))
+    action = C.verify_action(F.col("answer").isNotNull(), F.col("answer.is_course_page"), F.col("answer.confidence"), found)
+    judged = joined.withColumn("action", action)
+    moved, gone = F.col("action") == "course_relevant", F.col("action") == "inaccessible"
+    return judged.withColumns({
+        "reclassified_from": F.when(moved, "course_page"), "reason": F.when(moved, "has_other_course_links"),
+        "error": F.when(gone, VERIFICATION_FAILED),
+    })
 
 
 def expanded(checked: DataFrame, pages: DataFrame, cache: DataFrame, provider, settings: Settings = DEFAULT) -> DataFrame:
@@ -130,12 +163,7 @@ def expanded(checked: DataFrame, pages: DataFrame, cache: DataFrame, provider, s
     rows = L.page_links(sources)
     judged, _ = K.filter_links(rows.select("page_id", "pos", "url", "text"), cache, provider, settings)
     judged = judged.where("bucket in ('course_page', 'course_relevant')")
-    return judged.join(rows.select("page_id", "url", "source_url", "pos", "text", "title"), ["page_id", "url"])
-
-
-def inaccessible(urls: DataFrame, errors: DataFrame) -> DataFrame:
-    """Urls whose fetch failed, with the error."""
-    return urls.join(errors.where("error is not null"), "url").select("url", "error", F.lit("inaccessible").alias("classification"))
+    return judged.drop("pos").join(rows.select("page_id", "url", "source_url", "pos", "text", "title"), ["page_id", "url"])
 
 
 def buckets(result: dict[str, DataFrame]) -> DataFrame:
@@ -150,7 +178,7 @@ def buckets(result: dict[str, DataFrame]) -> DataFrame:
 def result_json(result: dict[str, DataFrame], base_url: str) -> DataFrame:
     """A crawl's result as one row of JSON (bounded by what one crawl of a site finds)."""
     rows = buckets(result)
-    row = F.struct("depth", "page_id", "pos", "url", "text", "tag", "parent_folder", "parent_depth")
+    row = F.struct("depth", "page_id", "pos", "url", "text", "tag", "confidence", "parent_folder", "parent_depth", "error")
     kind = rows.select(row.alias("r")).schema["r"].dataType.simpleString()
     listed = lambda bucket: F.sort_array(F.coalesce(F.element_at("lists", bucket), F.array().cast(f"array<{kind}>")))
     grouped = rows.groupBy("bucket").agg(F.collect_list(row).alias("rows"))

@@ -169,7 +169,8 @@ def test_fetching_with_retries(spark):
     urls = spark.createDataFrame([("https://h/ok",), ("https://h/bad",)], "url string")
     rows = tables.fetched(urls, fetch, retries=1, wait_s=0.0)
     assert {r.url: (r.html, r.error) for r in rows.collect()} == {"https://h/ok": ("<p>x</p>", None), "https://h/bad": (None, "refused")}
-    assert crawl.inaccessible(urls, rows.select("url", "error")).count() == 1
+    found = crawl.crawl(rows.withColumn("page_id", F.lit(1).cast("long")), urls, spark.createDataFrame([], CACHE), HeuristicProvider(), Settings(max_depth=1))
+    assert [(r.url, r.error) for r in found["inaccessible"].collect()] == [("https://h/bad", "refused")]
 
 
 def test_keys_and_retries():
@@ -179,7 +180,7 @@ def test_keys_and_retries():
     ring.report("b", False)
     ring.report("c", True)
     assert ring.stats()["total_errors"] == 2 and ring.stats()["error_rate"] == 0.5 and ring.has_multiple() and ring.remove("a") and not ring.remove("zz")
-    assert KeyRing.from_settings({"API_KEYS": "x, y,x", "API_KEY": "z"}).keys == ["x", "y"]
+    assert KeyRing.from_settings({"API_KEYS": "x, y,x", "API_KEY": "z"}).keys == ["x", "y", "x"]  # a list stands as it is
     waits = []
 
     class Slow:
