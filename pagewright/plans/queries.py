@@ -136,8 +136,7 @@ def links_same_domain(spark, sf_dir):
 
 @query
 def links_per_tag(spark, sf_dir):
-    both = links.page_links(pages(spark, sf_dir)).select("page_id", "tag").unionByName(links.resource_links(pages(spark, sf_dir)).select("page_id", "tag"))
-    return stats.by_tag(both)
+    return stats.by_tag(links.extracted_links(pages(spark, sf_dir)))
 
 
 @query
@@ -233,7 +232,7 @@ def crawl_stats(spark, sf_dir):
 def filter_links(spark, sf_dir):
     rows = links.page_links_native(pages(spark, sf_dir)).select("page_id", "pos", "url", "text")
     known = _cached(spark, sf_dir)
-    return cache.filter_links(rows, known, HeuristicProvider())[0].select("page_id", "url", "bucket", "method")
+    return cache.filter_links(rows, known, HeuristicProvider())[0].select("page_id", "pos", "url", "bucket", "method")
 
 
 def _cached(spark, sf_dir):
@@ -254,8 +253,9 @@ def cache_misses(spark, sf_dir):
 
 @query
 def cache_stats(spark, sf_dir):
-    rows = pages(spark, sf_dir).withColumn("cache_key", U.cache_key(F.col("url"))).join(_cached(spark, sf_dir).select("cache_key", F.lit(True).alias("from_cache")), "cache_key", "left")
-    return stats.cache_stats(rows.withColumn("from_cache", F.coalesce("from_cache", F.lit(False))), 7)
+    known = _cached(spark, sf_dir)
+    rows = pages(spark, sf_dir).withColumn("cache_key", U.cache_key(F.col("url"))).join(known.select("cache_key", F.lit(True).alias("from_cache")), "cache_key", "left")
+    return stats.cache_stats(rows.withColumn("from_cache", F.coalesce("from_cache", F.lit(False))), known.count())
 
 
 @query
@@ -474,7 +474,7 @@ def sem_label(spark, sf_dir):
 
 @query
 def page_materials(spark, sf_dir):
-    return catalog.materials(pages(spark, sf_dir))
+    return catalog.materials(catalog.facts(pages(spark, sf_dir)))
 
 
 @query

@@ -1,4 +1,5 @@
 import compare
+import pagewright.plans.fixed  # noqa: F401  (adds its queries)
 import pytest
 from pagewright.plans.oracles import ORACLES
 from pagewright.plans.queries import QUERIES
@@ -16,9 +17,8 @@ def test_against_sql(spark, con, name):
     assert not compare.difference(QUERIES[name](spark, DIR), con, ORACLES[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_runs(spark, name):
-    assert QUERIES[name](spark, DIR).count() >= 0
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
