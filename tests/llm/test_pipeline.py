@@ -5,7 +5,7 @@ import public_tokenizers as P
 import pytest
 import test_minhash
 import tiktoken
-from pagewright.llm import bpe, mixing
+from pagewright.llm import bpe, lang_id, mixing
 from test_native import norm
 
 
@@ -24,7 +24,9 @@ def test_stages(spark, folder):
 
     known = corpus_pipeline.language(spark, docs, folder)
     texts = {r.doc_id: r.text for r in docs.collect()}
-    assert known.columns == columns and {r.doc_id for r in known.collect()} == {i for i, t in texts.items() if t and any(map(str.isalpha, t))}
+    judged = {r.doc_id: r for r in lang_id.identify(docs, train=docs).collect()}
+    assert known.columns == columns and {r.doc_id for r in known.collect()} == {i for i, r in judged.items() if r.lang_pred != "und" and r.score >= lang_id.MIN_SCORE}
+    assert {i for i, r in judged.items() if r.lang_pred == "und"} == {i for i, t in texts.items() if not (t and any(map(str.isalpha, t)))}
 
     once = corpus_pipeline.exact(spark, known, folder)
     kept = {r.doc_id for r in once.collect()}
