@@ -152,6 +152,8 @@ def test_files(spark, tmp_path):
     (tmp_path / "cache.json").write_text('{"k1": {"is_course_page": true, "confidence": 0.9}, "k2": {}}')
     assert {r.cache_key: r.is_course_page for r in tables.cache(spark, str(tmp_path / "cache.json")).collect()} == {"k1": True, "k2": None}
     assert tables.cache(spark, str(tmp_path / "no.json")).count() == 0
+    (tmp_path / "broken.json").write_text('{"k1": {"is_course')
+    assert tables.cache(spark, str(tmp_path / "broken.json")).count() == 0
     (tmp_path / "crawl.json").write_text('{"course_pages": [{"url": "https://h/1"}, {"url": "https://h/2"}]}')
     assert tables.crawl_course_pages(spark, str(tmp_path / "crawl.json")).count() == 2
     docs = spark.createDataFrame([("a", "x\ny"), ("b", "z")], "file string, markdown string")
