@@ -18,7 +18,7 @@ cut.
 
 Scale: documents with equal sets are one class, so a group of copies costs one class. In a bucket
 every class is first checked against ``LEADERS`` of its classes, those least under as many hashes of
-the id (pairs linear in rows). Only a class that this leaves outside the bucket's largest component
+the id (pairs linear in rows; the pairs of a leader that has many are dealt over copies of its row). Only a class that this leaves outside the bucket's largest component
 is then compared with the rest of its bucket: in small buckets by pairs that size and sketch leave,
 in larger ones by full sets in blocks of about ``BLOCK`` by ``BLOCK`` sets (fewer where sets are large:
 about ``BLOCK_SHINGLES`` shingles a side), which return links and no
@@ -51,6 +51,9 @@ T = 128
 ROWS = 4
 #: Classes of a bucket that are each compared with all of its classes.
 LEADERS = 3
+#: A leader is hot above this many pairs, and above one in ``HOT_IDS`` of all pairs.
+HOT_PAIRS = 256
+HOT_IDS = 50_000
 #: Buckets up to this size list the pairs that are left; larger ones are compared block by block.
 SMALL = 32
 BLOCK = 256
@@ -171,8 +174,26 @@ def _near(share: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np
     return (share >= floor * T) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` that sizes and sketches leave."""
+def _hot(pairs: DataFrame) -> DataFrame:
+    """``(b, salts)`` of ids that are in more than ``HOT_PAIRS`` pairs and in more than one in ``HOT_IDS`` of all: fewer than ``HOT_IDS``."""
+    limit = max(HOT_PAIRS, pairs.count() // HOT_IDS)
+    counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / limit).cast("long").alias("salts")).where("salts > 1")
+    return scratch.table(counts, "minhash-hot")
+
+
+def _attached(pairs: DataFrame, side: str, own: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """``pairs`` with the columns of ``own`` for the id in ``side``; rows of a hot id are dealt over as many copies of its row."""
+    if hot is None:
+        return pairs.join(own, side)
+    known = F.broadcast(hot.select(F.col("b").alias(side), "salts"))  # of bounded size
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = pairs.join(known, side, "left").withColumn("salt", F.pmod(F.xxhash64("a", "b"), salts)).drop("salts")
+    copies = own.join(known, side, "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
+    return dealt.join(copies, [side, "salt"]).drop("salt")
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int, hot: DataFrame | None = None) -> DataFrame:
+    """Pairs ``(a, b)`` that sizes and sketches leave; ``hot``: of the ids ``b``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,28 +204,31 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     for side in "ab":
         own = classes.select(F.col("id").alias(side), F.col("n_shingles").alias(f"n{side}"), F.col("sketch").alias(f"s{side}"))
-        pairs = pairs.join(own, side)
+        pairs = _attached(pairs, side, own, hot if side == "b" else None)
     sized = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
     return sized.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, hot: DataFrame | None = None) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     for side in "ab":
-        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("set").alias(f"set_{side}")), side)
+        own = sets.select(F.col("id").alias(side), F.col("set").alias(f"set_{side}"))
+        pairs = _attached(pairs, side, own, hot if side == "b" else None)
     both = F.size(F.array_intersect("set_a", "set_b"))
     either = F.size("set_a") + F.size("set_b") - both
     return pairs.where(100 * both >= percent * either).select("a", "b")
 
 
 def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(key, id, own, major, m, strays)`` of buckets that hold several components; major: the largest there."""
-    known = members.select("key", "id").join(labels.select(F.col("node").alias("id"), F.col("component").alias("own")), "id", "left")
-    known = scratch.table(known.select("key", "id", F.coalesce("own", "id").alias("own")), "minhash-known")
-    parts = known.groupBy("key", "own").agg(F.count("*").alias("n"))
-    parts = parts.groupBy("key").agg(F.max(F.struct("n", "own")).alias("top"), F.sum("n").alias("m"), F.count("*").alias("parts")).where("parts > 1")
-    opened = parts.select("key", F.col("top.own").alias("major"), "m", (F.col("m") - F.col("top.n")).alias("strays"))
-    return scratch.table(known.join(scratch.table(opened, "minhash-opened"), "key"), "minhash-open")
+    """``(key, id, own, major, m, strays, n, stray_n)`` of buckets that hold several components; major: the largest there, n: shingles."""
+    known = members.select("key", "id", "n").join(labels.select(F.col("node").alias("id"), F.col("component").alias("own")), "id", "left")
+    known = scratch.table(known.select("key", "id", "n", F.coalesce("own", "id").alias("own")), "minhash-known")
+    parts = known.groupBy("key", "own").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    top = F.max(F.struct("m", "own", "n")).alias("top")
+    parts = parts.groupBy("key").agg(top, F.sum("m").alias("m"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
+    rest = [(F.col(c) - F.col(f"top.{c}")).alias(name) for c, name in (("m", "strays"), ("n", "stray_n"))]
+    opened = parts.select("key", F.col("top.own").alias("major"), "m", "n", *rest)
+    return scratch.table(known.drop("n").join(scratch.table(opened, "minhash-opened"), "key"), "minhash-open")
 
 
 def _pairs_in_small(opened: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -243,18 +267,15 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _links_in_large(opened: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links_in_large(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` of strays in buckets of more than ``SMALL`` classes, checked on full sets block by block.
 
     A stray gives one link for each component that it is linked with in a block, so what comes out
     is linear in what goes in even where thousands of documents are almost similar enough.
     """
-    large = opened.where(F.col("m") > SMALL)
-    sized = large.join(classes.select("id", F.col("n_shingles").alias("n")), "id")
-    sides = sized.groupBy("key").agg(F.sum(F.when(F.col("own") != F.col("major"), F.col("n")).otherwise(0)).alias("stray_n"), F.sum("n").alias("n"))
     rows = F.ceil(F.greatest(F.col("strays") / BLOCK, F.col("stray_n") / BLOCK_SHINGLES)).cast("long")
     cols = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("n") / BLOCK_SHINGLES)).cast("long")
-    cells = large.join(sides, "key").join(sets, "id").withColumns({"rows": rows, "cols": cols, "hash": F.xxhash64("id")})
+    cells = opened.where(F.col("m") > SMALL).join(sets, "id").withColumns({"rows": rows, "cols": cols, "hash": F.xxhash64("id")})
     fields = ["id", "own", "set"]
     along, down = F.sequence(F.lit(0).cast("long"), F.col("cols") - 1), F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)
     stray = cells.where("own <> major").select("key", F.pmod("hash", "rows").cast("long").alias("i"), F.explode(along).alias("j"), F.lit(1).alias("stray"), *fields)
@@ -293,7 +314,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = classes.select("id", same["print"], "n_shingles", "bands", "sketch").dropDuplicates(["id", "print"])
     classes = scratch.table(classes, "minhash-classes")
 
-    banded = classes.select("id", F.explode("bands").alias("key"))
+    banded = classes.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     least = [F.min(F.struct(F.xxhash64(F.lit(i), "id"), "id"))["id"] for i in range(LEADERS)]
     buckets = banded.groupBy("key").agg(F.array(*least).alias("leaders"), F.count("*").alias("m")).where("m > 1")
     members = scratch.table(banded.join(scratch.table(buckets, "minhash-buckets"), "key"), "minhash-members")
@@ -303,11 +324,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = scratch.table(shingle_sets(texts, width), "minhash-sets")
 
     led = members.select("id", F.explode("leaders").alias("leader")).where("id <> leader")
-    pairs = led.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-    links = scratch.table(_confirmed(_likely(pairs, classes, percent), sets, percent), "minhash-links")
+    pairs = scratch.table(led.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "minhash-pairs")
+    hot = _hot(pairs)
+    links = scratch.table(_confirmed(_likely(pairs, classes, percent, hot), sets, percent, hot), "minhash-links")
     labels = connected_components(links, "a", "b")
     opened = _open_buckets(members, labels)
-    more = _confirmed(_pairs_in_small(opened, classes, percent), sets, percent).unionByName(_links_in_large(opened, classes, sets, percent))
+    more = _confirmed(_pairs_in_small(opened, classes, percent), sets, percent).unionByName(_links_in_large(opened, sets, percent))
     more = scratch.table(more, "minhash-links")
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more), "a", "b")

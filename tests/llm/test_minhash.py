@@ -73,3 +73,10 @@ def test_sketch_fills_every_bin_and_estimates():
     a, b = items[:2500], items[500:]
     share = np.mean([np.mean(minhash.sketch(minhash.mix(a + np.uint64(i))) == minhash.sketch(minhash.mix(b + np.uint64(i)))) for i in range(20)])
     assert abs(share - 2000 / 3000) < 0.05
+
+
+def test_pairs_of_hot_leaders(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HOT_PAIRS", 3)
+    rows = list(enumerate(near_copies(80, 60, 11) + ["something else %d %d %d %d" % (i, i, i * i, i) for i in range(20)]))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == brute(rows, 3, 85)
