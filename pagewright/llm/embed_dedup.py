@@ -45,7 +45,7 @@ from pagewright.session import separate
 WIDTH = 2.5
 FILL = 512
 MISS = 2.5e-4
-BLOCK = 256
+BLOCK = 1024
 #: Copies of vectors that a round may hold on disk, beyond those of one table.
 ROUND_BYTES = 256 << 20
 #: A round's shuffle files are deleted at its end; its frames are used once.
