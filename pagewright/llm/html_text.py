@@ -282,8 +282,6 @@ def main_text(html: str | None) -> str:
         line.text = SPACE.sub(" ", "".join(line.parts)).strip()
         if line.text:
             lines.append(line)
-        elif line.border and lines:
-            page.border = True
     if not lines:
         return ""
     unwrapped(page, lines)
