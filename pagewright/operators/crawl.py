@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -75,33 +76,34 @@ def crawl(pages: DataFrame, seeds: DataFrame, cache: DataFrame, provider, settin
     why = F.coalesce(F.col("error") if "error" in pages.columns else F.lit(None).cast("string"), F.lit(NO_PAGE))
     index = stored(lambda: pages.select("url", "page_id", F.col("html").isNotNull().alias("readable"), F.when(F.col("html").isNull(), why).alias("error")), "index")
     frontier = stored(lambda: seeds.select("url").distinct().withColumn("depth", F.lit(0)), "frontier-0")
-    visited, found, missing, every = frontier, None, None, None
     domain = U.netloc(F.col("source_url"))
-    for depth in range(settings.max_depth + 1):
-        here = stored(lambda: frontier.join(index, "url", "left"), f"here-{depth}")  # noqa: B023
-        gone = here.where("not coalesce(readable, false)")
-        gone = gone.select("url", F.lit("inaccessible").alias("bucket"), F.lit(depth).alias("depth"), F.coalesce("error", F.lit(NO_PAGE)).alias("error"))
-        wanted = here.where("readable").select("page_id", "url")
-        read = pages.select("page_id", "url", "html").join(wanted, ["page_id", "url"], "left_semi")
-        extracted = stored(lambda: L.with_site(L.extracted_links(read), domain).withColumn("depth", F.lit(depth)), f"extracted-{depth}")  # noqa: B023
+
+    def level(frontier: DataFrame, depth: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Links as they were found, the site's own judged, and urls without a page."""
+        at = F.lit(depth).alias("depth")
+        here = stored(lambda: frontier.join(index, "url", "left"), f"here-{depth}")
+        gone = here.where("not coalesce(readable, false)").select("url", F.lit("inaccessible").alias("bucket"), at, F.coalesce("error", F.lit(NO_PAGE)).alias("error"))
+        read = pages.select("page_id", "url", "html").join(here.where("readable").select("url"), "url", "left_semi")
+        extracted = stored(lambda: L.with_site(L.extracted_links(read), domain).withColumn("depth", at), f"extracted-{depth}")
         rows = extracted.where("not is_external and not is_file_link")
 
         def judge() -> DataFrame:
-            judged, _ = K.filter_links(rows.select("page_id", "pos", "url", "text"), cache, provider, settings)  # noqa: B023
-            placed = judged.drop("pos").join(rows.select("page_id", "url", "source_url", "pos", "text", "title"), ["page_id", "url"])  # noqa: B023
-            return placed.select("page_id", "pos", "url", "text", "title", "source_url", "bucket", "method", "confidence", F.lit(depth).alias("depth"))  # noqa: B023
-
-        placed = stored(judge, f"links-{depth}")
-        found = placed if found is None else found.unionByName(placed)
-        missing = gone if missing is None else missing.unionByName(gone)
-        every = extracted if every is None else every.unionByName(extracted)
-        if depth == settings.max_depth:
-            break
-        onward = placed.where("bucket = 'course_relevant'").select("url").distinct()
-        frontier = stored(lambda: onward.join(visited, "url", "left_anti").withColumn("depth", F.lit(depth + 1)), f"frontier-{depth + 1}")  # noqa: B023
+            judged, _ = K.filter_links(rows.select("page_id", "pos", "url", "text"), cache, provider, settings)
+            placed = judged.drop("pos").join(rows.select("page_id", "url", "source_url", "pos", "text", "title"), ["page_id", "url"])
+            return placed.select("page_id", "pos", "url", "text", "title", "source_url", "bucket", "method", "confidence", at)
+
+        return extracted, stored(judge, f"links-{depth}"), gone
+
+    every, found, missing = level(frontier, 0)
+    visited, placed = frontier, found
+    for depth in range(1, settings.max_depth + 1):
+        onward = placed.where("bucket = 'course_relevant'").select("url").distinct().join(visited, "url", "left_anti")
+        frontier = stored(partial(onward.withColumn, "depth", F.lit(depth)), f"frontier-{depth}")
         if frontier.isEmpty():
             break
         visited = visited.unionByName(frontier)
+        extracted, placed, gone = level(frontier, depth)
+        every, found, missing = every.unionByName(extracted), found.unionByName(placed), missing.unionByName(gone)
     links = bucket_dedup(found, ["depth", "page_id", "pos"])
     if verify:
         candidates = links.where("bucket = 'course_page'")
