@@ -37,10 +37,13 @@ SALT_ROWS = 4096
 #: A group is hot above this many rows, and above one in ``HOT_GROUPS`` of all rows.
 HOT_ROWS = 256
 HOT_GROUPS = 50_000
-#: State on disk; without files that RocksDB makes large beforehand, of which each partition has several.
+#: State on disk; without files that RocksDB makes large beforehand, of which each partition has several,
+#: and with one bound on its memory for all partitions of an executor.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "192",
 }
 
 
