@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 #: Rank files are sent to every worker, so larger ones are refused.
 MAX_RANK_BYTES = 16 << 20
-PIECES_KEPT = 400_000
+PIECES_KEPT = 300_000
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -152,7 +152,7 @@ def worker_codec(data: bytes, pattern: str) -> Codec:
     return _CODECS[key]
 
 
-def _parts(texts: list[str], most: int = 4 << 20) -> Iterator[list[str]]:
+def _parts(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
     """The texts in runs of about ``most`` characters, so that a batch's pieces fit in memory."""
     run, total = [], 0
     for text in texts:

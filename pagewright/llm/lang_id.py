@@ -54,7 +54,7 @@ SEPARATOR = 0x20
 #: Odd factor that spreads keys over a table of hashes.
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Characters that are scored side by side.
-PART = 4 << 20
+PART = 2 << 20
 
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else SEPARATOR for b in range(256))
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
