@@ -1,6 +1,6 @@
 r"""Byte-level BPE encoding and decoding by corpus-level merge replay.
 
-Method: a batch of documents is one small corpus. Its texts are cut by the tokenizer's pattern;
+Method: a part of a batch of documents (``PART``) is one small corpus, its new pieces replayed by ``REPLAYED``. Its texts are cut by the tokenizer's pattern;
 the distinct pieces that the worker has not met before form one sequence of bytes with breaks
 between pieces. An inverted index leads from each adjacent token pair to the positions where it
 stands; merges are replayed in the order of their ranks, each at all of its positions from left to
@@ -32,9 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.llm.worker import kept, parts, tidy
+
 #: Rank files are sent to every worker, so larger ones are refused.
 MAX_RANK_BYTES = 16 << 20
 PIECES_KEPT = 300_000
+#: Bytes of texts that are encoded, and handed on, at a time; and of new pieces that are replayed at a time.
+PART = 1 << 20
+REPLAYED = 1 << 17
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -130,9 +135,9 @@ class Codec:
         pieces = [self.find(text) for text in texts]
         if len(self.packed) > PIECES_KEPT:
             self.packed.clear()
-        new = list(set().union(*pieces).difference(self.packed))
-        for piece, ids in zip(new, replay([p.encode() for p in new], self.singles, self.pairs), strict=True):
-            self.packed[piece] = np.array(ids, dtype="<u4").tobytes()
+        for new in _runs(set().union(*pieces).difference(self.packed)):
+            for piece, ids in zip(new, replay([p.encode() for p in new], self.singles, self.pairs), strict=True):
+                self.packed[piece] = np.array(ids, dtype="<u4").tobytes()
         get = self.packed.__getitem__
         return [np.frombuffer(b"".join(map(get, own)), dtype="<u4") for own in pieces]
 
@@ -140,27 +145,20 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-_CODECS: dict[tuple[bytes, str], Codec] = {}
-
-
 def worker_codec(data: bytes, pattern: str) -> Codec:
-    """The codec of this Python worker, which later tasks of the worker go on using."""
-    key = (sha256(data).digest(), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(parse_ranks(data), pattern)
-    return _CODECS[key]
+    """The codec of this Python worker, which later tasks of the worker go on using until another operator's come."""
+    return kept(("bpe", sha256(data).digest(), pattern), lambda: Codec(parse_ranks(data), pattern))
 
 
-def _parts(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
-    """The texts in runs of about ``most`` characters, so that a batch's pieces fit in memory."""
+def _runs(pieces: Iterable[str]) -> Iterator[list[str]]:
+    """The pieces in runs of about ``REPLAYED`` characters: a replay holds some hundred bytes for each."""
     run, total = [], 0
-    for text in texts:
-        if run and total + len(text) > most:
+    for piece in pieces:
+        if run and total + len(piece) > REPLAYED:
             yield run
             run, total = [], 0
-        run.append(text)
-        total += len(text)
+        run.append(piece)
+        total += len(piece)
     if run:
         yield run
 
@@ -177,20 +175,19 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(sent.value, pattern)
-        for batch in batches:
-            counts, ids_sha, decoded_sha, kept = [], [], [], []
-            for texts in _parts([t or "" for t in batch.column(1).to_pylist()]):
-                for ids in codec.encode(texts):
-                    counts.append(len(ids))
-                    ids_sha.append(sha256(ids.tobytes()).hexdigest())
-                    decoded_sha.append(sha256(codec.decode(ids)).hexdigest())
-                    if keep_ids:
-                        kept.append(ids.astype(np.int64))
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
+        for part in (p for batch in batches for p in parts(batch, 1, PART)):
+            counts, ids_sha, decoded_sha, all_ids = [], [], [], []
+            for ids in codec.encode([t or "" for t in part.column(1).to_pylist()]):
+                counts.append(len(ids))
+                ids_sha.append(sha256(ids.tobytes()).hexdigest())
+                decoded_sha.append(sha256(codec.decode(ids)).hexdigest())
+                if keep_ids:
+                    all_ids.append(ids.astype(np.int64))
+            columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
             names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                columns.append(pa.array(kept, pa.list_(pa.int64())))
+                columns.append(pa.array(all_ids, pa.list_(pa.int64())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select(F.col(id_col), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col).alias("text")).mapInArrow(tidy(run, keeps=True), schema)

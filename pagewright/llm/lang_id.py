@@ -41,6 +41,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.llm.worker import parts, tidy
+
 ORDER = 4
 DOCS_PER_LANG = 1000
 #: Languages whose trees share an automaton.
@@ -327,13 +329,13 @@ def identify(docs: DataFrame, train: DataFrame | None = None, mod: int = 4, held
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = predict(batch.column(2).to_pylist(), sent.value)
+        for part in (p for batch in batches for p in parts(batch, 2, PART)):
+            found = predict(part.column(2).to_pylist(), sent.value)
             langs, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), langs, scores], names=["doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), langs, scores], names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select("doc_id", held.alias("held_out"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -348,12 +350,12 @@ def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t.encode() if t is not None else None for t in batch.column("text").to_pylist()]
+        for part in (p for batch in batches for p in parts(batch, "text", PART)):
+            texts = [t.encode() if t is not None else None for t in part.column("text").to_pylist()]
             if sent.value is None:
                 known = [bool(t) and has_letter(t) for t in texts]
             else:
                 known = [lang != UNKNOWN and score >= min_score for lang, score in predict(texts, sent.value)]
-            yield batch.filter(pa.array(known, pa.bool_()))
+            yield part.filter(pa.array(known, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 
 from pagewright import scratch
 from pagewright.llm.blocks import fixed, grouped
+from pagewright.llm.worker import parts, tidy
 from pagewright.operators.components import connected_components
 
 T = 128
@@ -66,6 +67,8 @@ SLACK = 5.6
 LEAST_PERCENT = 70
 #: Entries of a worker's table of word hashes.
 WORDS_KEPT = 400_000
+#: Bytes of texts that are worked on, and handed on, at a time.
+PART = 2 << 20
 #: Hash values computed at a time for short documents.
 CHUNK = 2048
 
@@ -134,10 +137,10 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
+        for part in (p for batch in batches for p in parts(batch, 1, PART)):
+            ids = part.column(0).to_pylist()
             out: list[tuple] = []
-            for doc_id, text in zip(ids, batch.column(1).to_pylist(), strict=True):
+            for doc_id, text in zip(ids, part.column(1).to_pylist(), strict=True):
                 items = shingle_set(text, hashes, width)
                 if doc_id is None or not len(items):
                     out.append((len(items), None, None, None))
@@ -147,7 +150,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             sizes, prints, keys, small = zip(*out, strict=True) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(small, pa.binary())], schema=arrow)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(tidy(run), schema)
 
 
 def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -155,16 +158,16 @@ def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for part in (p for batch in batches for p in parts(batch, 2, PART)):
             ids, sets = [], []
-            for doc_id, print_, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc_id, print_, text in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                 items = shingle_set(text, hashes, width)
                 if blake2b(items.tobytes(), digest_size=16).digest() == print_:
                     ids.append(doc_id)
                     sets.append(items.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
-    return texts.select("id", "print", F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, set array<long>")
+    return texts.select("id", "print", F.col("text").cast("binary").alias("text")).mapInArrow(tidy(run), "id long, set array<long>")
 
 
 def _near(share: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
