@@ -3,9 +3,9 @@ r"""Byte-level BPE encoding and decoding by corpus-level merge replay.
 Method: a part of a batch of documents (``PART``) is one small corpus, its new pieces replayed by ``REPLAYED``. Its texts are cut by the tokenizer's pattern;
 the distinct pieces that the worker has not met before form one sequence of bytes with breaks
 between pieces. An inverted index leads from each adjacent token pair to the positions where it
-stands; merges are replayed in the order of their ranks, each at all of its positions from left to
-right, and a merge touches its two neighbours only (two new pairs enter the index). A piece is
-replayed once for a worker, however often it occurs, and its ids are kept.
+stands (the first pairs enter it sorted, as arrays); merges are replayed in the order of their ranks, each at all of its positions from
+left to right, and a merge touches its two neighbours only (two new pairs enter the index). The ids of a piece are kept: it is
+replayed once for a worker, however often it occurs, unless it leaves the table.
 
 That gives each piece the merges that the rank-greedy loop of the usual library does: always the
 lowest rank, then the leftmost. A pair that a merge creates with a lower rank than the current one
@@ -17,7 +17,8 @@ row; columns other than id and text are passed over. Texts are never cut; a very
 once by one worker. Lone surrogates do not occur in Spark's strings.
 
 Scale: there is no shuffle. The rank file (its path is a parameter; read by the driver, under
-``MAX_RANK_BYTES``) is sent with the tasks; a worker's table of pieces is emptied at ``PIECES_KEPT``.
+``MAX_RANK_BYTES``) is sent with the tasks; a worker's table of pieces loses, at ``PIECES_KEPT``, those that came in one part only
+since it was last full. What leaves is replayed again when it comes again; no text is passed over.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import base64
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
 from heapq import heappop, heappush
+from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ PIECES_KEPT = 300_000
 #: Bytes of texts that are encoded, and handed on, at a time; and of new pieces that are replayed at a time.
 PART = 1 << 20
 REPLAYED = 1 << 17
+#: Ids that are decoded at a time.
+DECODED = 1 << 16
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -52,70 +57,99 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
     return ranks
 
 
-def pair_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
-    """For every way to put a token together from two: ``left << 32 | right`` to the token's rank."""
-    pairs: dict[int, int] = {}
+class Pairs(NamedTuple):
+    """What two tokens make: ``follow[left][right]`` and ``lead[right][left]`` are the merged token's rank, ``first`` that of two bytes (-1: none)."""
+
+    follow: dict[int, dict[int, int]]
+    lead: dict[int, dict[int, int]]
+    first: np.ndarray
+
+
+def pair_ranks(ranks: dict[bytes, int]) -> Pairs:
+    """Every way to put a token together from two."""
+    pairs = Pairs({}, {}, np.full(1 << 16, -1, np.int64))
     for token, rank in ranks.items():
+        if len(token) == 2:
+            pairs.first[token[0] << 8 | token[1]] = rank
         for cut in range(1, len(token)):
             left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
             if left is not None and right is not None:
-                pairs[left << 32 | right] = rank
+                pairs.follow.setdefault(left, {})[right] = rank
+                pairs.lead.setdefault(right, {})[left] = rank
     return pairs
 
 
-def replay(pieces: list[bytes], singles: list[int], pairs: dict[int, int]) -> list[list[int]]:
-    """The ids of each piece after all merges. ``singles``: the rank of each byte."""
-    tokens: list[int] = []  # -1: a break between pieces, -2: taken up by the token before it
-    ends: list[int] = []
-    for piece in pieces:
-        tokens.extend([singles[byte] for byte in piece])
-        tokens.append(-1)
-        ends.append(len(tokens) - 1)
-    n = len(tokens)
-    tokens.append(-1)
-    after, before = list(range(1, n + 2)), list(range(-1, n))
+def _replayed(pieces: list[bytes], singles: list[int], pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all pieces after all merges, one piece after another, and where each piece's ids end."""
+    breaks = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1) - 1
+    n = int(breaks[-1]) + 1 if pieces else 0
+    inside = np.ones(n + 1, bool)
+    inside[breaks] = inside[n] = False
+    laid = np.zeros(n + 1, np.uint16)
+    laid[inside] = np.frombuffer(b"".join(pieces), np.uint8)
+    tokens = np.where(inside, np.array(singles, np.int64)[laid], -1).tolist()  # -1: a break between pieces, -2: taken up by the token before it
+    places = np.flatnonzero(inside[:-1] & inside[1:])
+    found = pairs.first[laid[places] << 8 | laid[places + 1]]
+    places, found = places[found >= 0], found[found >= 0]
+    places = places[np.argsort(found, kind="stable")]
+    queue, counts = np.unique(found, return_counts=True)
+    queue, ends = queue.tolist(), np.cumsum(counts).tolist()  # in order, so a heap
     index: dict[int, list[int]] = {}  # rank of the merged pair: positions of its left part
-    queue: list[int] = []
-    rank_of = pairs.get
-
-    def enter(rank: int, left: int) -> None:
-        if rank in index:
-            index[rank].append(left)
-        else:
-            index[rank] = [left]
-            heappush(queue, rank)
-
-    for i in range(n - 1):
-        if tokens[i] >= 0 and tokens[i + 1] >= 0 and (rank := rank_of(tokens[i] << 32 | tokens[i + 1])) is not None:
-            enter(rank, i)
+    at = [-1] * (n + 1)  # the rank of the pair whose left part stands here
+    for rank, low, high in zip(queue, [0, *ends], ends, strict=False):
+        index[rank] = places[low:high].tolist()
+        for left in index[rank]:
+            at[left] = rank
+    del inside, laid, places, found
+    numbers = list(range(-1, n + 2))
+    after, before = numbers[2:], numbers[:-2]
+    del numbers
+    none: dict[int, int] = {}
     while queue:
         rank = heappop(queue)
         places = index.pop(rank)
         places.sort()
+        follows, leads = pairs.follow.get(rank, none).get, pairs.lead.get(rank, none).get
         for k, left in enumerate(places):
-            a, right = tokens[left], after[left]
-            if a < 0 or tokens[right] < 0 or rank_of(a << 32 | tokens[right]) != rank:
+            if at[left] != rank:
                 continue  # one of the two was merged meanwhile
-            tokens[left], tokens[right] = rank, -2
+            right = after[left]
             after[left] = beyond = after[right]
             before[beyond] = left
+            tokens[left], tokens[right], at[right] = rank, -2, -1
             lower = False
-            if tokens[beyond] >= 0 and (new := rank_of(rank << 32 | tokens[beyond])) is not None:
-                enter(new, left)
-                lower = new <= rank
+            at[left] = new = follows(tokens[beyond], -1)
+            if new >= 0:
+                if new in index:
+                    index[new].append(left)
+                else:
+                    index[new] = [left]
+                    heappush(queue, new)
+                lower = new < rank
             ahead = before[left]
-            if ahead >= 0 and tokens[ahead] >= 0 and (new := rank_of(tokens[ahead] << 32 | rank)) is not None:
-                enter(new, ahead)
-                lower = lower or new <= rank
+            at[ahead] = new = leads(tokens[ahead], -1)
+            if new >= 0:
+                if new in index:
+                    index[new].append(ahead)
+                else:
+                    index[new] = [ahead]
+                    heappush(queue, new)
+                lower = lower or new < rank
             if lower:
-                for rest in places[k + 1 :]:  # the lower rank goes first, then this one again
-                    enter(rank, rest)
+                rest = places[k + 1 :]  # the lower rank goes first, then this one again
+                if rest:
+                    index[rank] = rest
+                    heappush(queue, rank)
                 break
-    out, start = [], 0
-    for end in ends:
-        out.append([t for t in tokens[start:end] if t >= 0])
-        start = end + 1
-    return out
+    ids = np.array(tokens, np.int64)
+    whole = ids >= 0
+    return ids[whole], np.cumsum(whole)[breaks]
+
+
+def replay(pieces: list[bytes], singles: list[int], pairs: Pairs) -> list[list[int]]:
+    """The ids of each piece after all merges. ``singles``: the rank of each byte."""
+    ids, ends = _replayed(pieces, singles, pairs)
+    return [own.tolist() for own in np.split(ids, ends)[:-1]]
 
 
 class Codec:
@@ -126,23 +160,54 @@ class Codec:
 
         self.singles = [ranks[bytes([byte])] for byte in range(256)]
         self.pairs = pair_ranks(ranks)
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        tokens = {rank: token for token, rank in ranks.items()}
+        self.known = np.array(sorted(tokens), np.int64)
+        self.bytes = np.frombuffer(b"".join(tokens[rank] for rank in self.known.tolist()), np.uint8)
+        self.sizes = np.array([len(tokens[rank]) for rank in self.known.tolist()], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.find = regex.compile(pattern).findall
         self.packed: dict[str, bytes] = {}
+        self.again: set[str] = set()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         pieces = [self.find(text) for text in texts]
-        if len(self.packed) > PIECES_KEPT:
-            self.packed.clear()
-        for new in _runs(set().union(*pieces).difference(self.packed)):
-            for piece, ids in zip(new, replay([p.encode() for p in new], self.singles, self.pairs), strict=True):
-                self.packed[piece] = np.array(ids, dtype="<u4").tobytes()
+        self._make_room()
+        met = set().union(*pieces)
+        new = met.difference(self.packed)
+        met -= new
+        if len(self.again) < PIECES_KEPT // 3:
+            self.again |= met
+        for run in _runs(new):
+            ids, ends = _replayed([p.encode() for p in run], self.singles, self.pairs)
+            data, low = ids.astype("<u4").tobytes(), 0
+            for piece, high in zip(run, (4 * ends).tolist(), strict=True):
+                self.packed[piece] = data[low:high]
+                low = high
         get = self.packed.__getitem__
         return [np.frombuffer(b"".join(map(get, own)), dtype="<u4") for own in pieces]
 
+    def _make_room(self) -> None:
+        """A full table keeps the pieces that came in another part, too, since it was last full; a third of it at most."""
+        if len(self.packed) > PIECES_KEPT:
+            self.packed = dict(islice(((p, ids) for p, ids in self.packed.items() if p in self.again), PIECES_KEPT // 3))
+            self.again = set()
+
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+        """The bytes of the ids, each looked up in the tokens laid end to end; an unknown id is an error."""
+        return b"".join(self._decode(ids[low : low + DECODED]) for low in range(0, len(ids), DECODED))
+
+    def _decode(self, ids: np.ndarray) -> bytes:
+        if self.known[-1] != len(self.known) - 1:  # ranks with gaps
+            own = np.searchsorted(self.known, ids)
+            if not np.array_equal(self.known.take(own, mode="clip"), ids):
+                raise IndexError("an id that no rank has")
+            ids = own
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[ids] - ends + sizes, sizes)
+        at += np.arange(len(at))
+        return self.bytes[at].tobytes()
 
 
 def worker_codec(data: bytes, pattern: str) -> Codec:
