@@ -35,6 +35,7 @@ bins); pairs above the limit less often still. Larger buckets are compared witho
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -279,10 +280,12 @@ def _links_in_large(opened: DataFrame, sets: DataFrame, percent: int) -> DataFra
     rows = F.ceil(F.greatest(F.col("strays") / BLOCK, F.col("stray_n") / BLOCK_SHINGLES)).cast("long")
     cols = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("n") / BLOCK_SHINGLES)).cast("long")
     cells = opened.where(F.col("m") > SMALL).join(sets, "id").withColumns({"rows": rows, "cols": cols, "hash": F.xxhash64("id")})
-    fields = ["id", "own", "set"]
-    along, down = F.sequence(F.lit(0).cast("long"), F.col("cols") - 1), F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)
-    stray = cells.where("own <> major").select("key", F.pmod("hash", "rows").cast("long").alias("i"), F.explode(along).alias("j"), F.lit(1).alias("stray"), *fields)
-    each = cells.select("key", F.explode(down).alias("i"), F.pmod("hash", "cols").cast("long").alias("j"), F.lit(0).alias("stray"), *fields)
+    row, col = F.pmod("hash", "rows").cast("long").alias("i"), F.pmod("hash", "cols").cast("long").alias("j")
+    zero = F.lit(0).cast("long")
+    each = F.transform(F.sequence(zero, F.col("rows") - 1), lambda i: F.struct(i.alias("i"), col, F.lit(0).alias("stray")))
+    stray = F.transform(F.sequence(zero, F.col("cols") - 1), lambda j: F.struct(row, j.alias("j"), F.lit(1).alias("stray")))
+    spots = F.explode(F.when(F.col("own") == F.col("major"), each).otherwise(F.concat(each, stray))).alias("at")
+    dealt = cells.select("key", spots, "id", "own", "set").select("key", "at.i", "at.j", "at.stray", "id", "own", "set")
 
     def handle(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         ids, own, stray = (table[c].to_numpy() for c in ("id", "own", "stray"))
@@ -302,7 +305,18 @@ def _links_in_large(opened: DataFrame, sets: DataFrame, percent: int) -> DataFra
                 found.extend((int(ids[x[p]]), int(ids[y[k]])) for k in q[first])
         yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return grouped(stray.unionByName(each), ["key", "i", "j"], handle, "a long, b long")
+    return grouped(dealt, ["key", "i", "j"], handle, "a long, b long")
+
+
+def _more_links(opened: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links ``(a, b)`` that the leaders left over, by the ways that the sizes of the open buckets ask for; none: no bucket is open."""
+    least, most = opened.agg(F.min("m"), F.max("m")).first()
+    ways = []
+    if least is not None and least <= SMALL:
+        ways.append(_confirmed(_pairs_in_small(opened, classes, percent), sets, percent))
+    if most is not None and most > SMALL:
+        ways.append(_links_in_large(opened, sets, percent))
+    return scratch.table(reduce(DataFrame.unionByName, ways), "minhash-links") if ways else None
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -311,10 +325,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         raise ValueError(f"percent under {LEAST_PERCENT}: the bands would miss pairs")
     sigs = scratch.table(signatures(docs, width), "minhash-signatures")
     linkable = sigs.where("print is not null")
-    same = linkable.groupBy("print").agg(F.min("doc_id").alias("id"))
-    same = scratch.table(same, "minhash-same")
-    classes = linkable.join(same, (linkable["print"] == same["print"]) & (linkable.doc_id == same.id))
-    classes = classes.select("id", same["print"], "n_shingles", "bands", "sketch").dropDuplicates(["id", "print"])
+    first = F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("first")  # a map-side combine leaves a row a print and task
+    classes = linkable.groupBy("print").agg(first).select(F.col("first.doc_id").alias("id"), "print", "first.n_shingles", "first.bands", "first.sketch")
     classes = scratch.table(classes, "minhash-classes")
 
     banded = classes.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
@@ -331,14 +343,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     hot = _hot(pairs)
     links = scratch.table(_confirmed(_likely(pairs, classes, percent, hot), sets, percent, hot), "minhash-links")
     labels = connected_components(links, "a", "b")
-    opened = _open_buckets(members, labels)
-    more = _confirmed(_pairs_in_small(opened, classes, percent), sets, percent).unionByName(_links_in_large(opened, sets, percent))
-    more = scratch.table(more, "minhash-links")
-    if not more.isEmpty():
+    more = _more_links(_open_buckets(members, labels), classes, sets, percent)
+    if more is not None and not more.isEmpty():
         labels = connected_components(links.unionByName(more), "a", "b")
 
     labels = labels.select(F.col("node").alias("id"), "component")
-    component = same.join(labels, "id", "left").select("print", F.coalesce("component", "id").alias("component"))
+    component = classes.join(labels, "id", "left").select("print", F.coalesce("component", "id").alias("component"))
     out = sigs.select("doc_id", "n_shingles", "print").join(component, "print", "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -4,15 +4,24 @@ Alternating large-star and small-star steps: every node is hooked onto the small
 until each component is a star around its smallest node. Each step is two shuffles of the edge list;
 edge lists are written to the shared folder between rounds, so lineage stays short and a lost
 executor costs one round at most. Nothing is collected but two numbers a round.
+
+A graph of long nodes with at most ``FEW_EDGES`` edges is not worth those rounds, each of which
+costs tasks and files as many as there are partitions: its edges (16 bytes each) go to the driver,
+which joins their sets. Both ways give the same components.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright import scratch
 
+#: Edges that the driver takes on by itself.
+FEW_EDGES = 100_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
@@ -40,13 +49,33 @@ def _is_star(edges: DataFrame) -> bool:
     return forks.isEmpty() and edges.select(F.col("dst").alias("src")).join(down, "src", "left_semi").isEmpty()
 
 
+def _joined(edges: pa.Table) -> pa.Table:
+    """``(node, component)`` of all nodes, by disjoint sets whose root is their smallest node."""
+    nodes, at = np.unique(np.concatenate([edges[c].to_numpy() for c in ("src", "dst")]), return_inverse=True)
+    root = list(range(len(nodes)))
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = k = root[root[k]]
+        return k
+
+    for a, b in at.reshape(2, -1).T.tolist():
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    least = nodes[[find(k) for k in range(len(nodes))]]
+    return pa.table({"node": pa.array(nodes, pa.int64()), "component": pa.array(least, pa.int64())})
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 40) -> DataFrame:
     """``(node, component)`` for every node that has an edge to another; component: its smallest node.
 
-    Self-loops and edges with a null end are ignored. Node columns may have any orderable type.
+    Self-loops and edges with a null end are ignored. Node columns may have any orderable type. Edges
+    of long nodes are counted first, so they should be cheap to read.
     """
     edges = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where("src <> dst")
     edges = edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
+    if {kind for _, kind in edges.dtypes} == {"bigint"} and 0 < edges.count() <= FEW_EDGES:
+        return scratch.table(edges.sparkSession.createDataFrame(_joined(edges.toArrow())), "cc-labels")
     edges = scratch.table(edges.distinct(), "cc-edges")
     seen = None
     for _ in range(max_rounds):

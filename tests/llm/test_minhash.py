@@ -80,3 +80,27 @@ def test_pairs_of_hot_leaders(spark, monkeypatch):
     rows = list(enumerate(near_copies(80, 60, 11) + ["something else %d %d %d %d" % (i, i, i * i, i) for i in range(20)]))
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
     assert got == brute(rows, 3, 85)
+
+
+def test_few_links_cost_few_tables(spark, monkeypatch):
+    written = []
+    table = minhash.scratch.table
+    monkeypatch.setattr(minhash.scratch, "table", lambda df, label, *more: written.append(label) or table(df, label, *more))
+    rows = [(i, t) for i, t in enumerate(["a b c d e f g", "a b c d e f g", "other words of no other text", None, ""])]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(rows, 3, 85)
+    assert written.count("minhash-links") == 1  # no bucket is left open
+    rows = list(enumerate(near_copies(60, 60, 5)))
+    written.clear()
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(rows, 3, 85)
+    assert "cc-low" not in written and "minhash-same" not in written
+
+
+def test_leftover_links_by_either_way(spark, monkeypatch):
+    rows = list(enumerate(near_copies(60, 60, 7)))
+    for small in (1, 1000):  # all open buckets are large, or small
+        monkeypatch.setattr(minhash, "SMALL", small)
+        monkeypatch.setattr(minhash, "LEADERS", 1)
+        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(rows, 3, 85)
