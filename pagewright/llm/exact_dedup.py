@@ -38,12 +38,14 @@ SALT_ROWS = 4096
 HOT_ROWS = 256
 HOT_GROUPS = 50_000
 #: State on disk; without files that RocksDB makes large beforehand, of which each partition has several,
-#: and with one bound on its memory for all partitions of an executor.
+#: and with one bound on its memory for all partitions of an executor. A partition's store is closed when its task has
+#: committed: else an executor keeps all that it has met open, in this stage and beyond it.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "192",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
