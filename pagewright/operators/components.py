@@ -69,13 +69,14 @@ def _joined(edges: pa.Table) -> pa.Table:
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 40) -> DataFrame:
     """``(node, component)`` for every node that has an edge to another; component: its smallest node.
 
-    Self-loops and edges with a null end are ignored. Node columns may have any orderable type. Edges
-    of long nodes are counted first, so they should be cheap to read.
+    Self-loops and edges with a null end are ignored. Node columns may have any orderable type.
     """
     edges = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where("src <> dst")
     edges = edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-    if {kind for _, kind in edges.dtypes} == {"bigint"} and 0 < edges.count() <= FEW_EDGES:
-        return scratch.table(edges.sparkSession.createDataFrame(_joined(edges.toArrow())), "cc-labels")
+    if {kind for _, kind in edges.dtypes} == {"bigint"}:
+        edges = scratch.table(edges, "cc-given")  # computed once, whichever way they go
+        if 0 < edges.count() <= FEW_EDGES:
+            return scratch.table(edges.sparkSession.createDataFrame(_joined(edges.toArrow())), "cc-labels")
     edges = scratch.table(edges.distinct(), "cc-edges")
     seen = None
     for _ in range(max_rounds):
