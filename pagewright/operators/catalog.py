@@ -48,13 +48,15 @@ def facts(pages: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 def indexed(rows: DataFrame, settings: Settings = DEFAULT, years: DataFrame | None = None) -> DataFrame:
     """Rows of each group by year, newest first, and their 1-based index.
 
-    With ``years`` (``url, page_year``), rows without a year take the latest year in their page's text, for the order only.
+    With ``years`` (``url, page_year``), rows without a year take the latest year in their page's text, for the order only;
+    of several pages with a row's url, the latest of all.
     """
     groups = grouped(rows)
     year = year_of(F.col("year"), F.col("semester"), settings.current_year)
     groups = groups.withColumn("year_int", year)
     if years is not None:
-        groups = groups.join(years.select("url", "page_year"), "url", "left").withColumn("year_int", F.coalesce(F.when(F.col("year_int") > 0, F.col("year_int")), "page_year", F.lit(0))).drop("page_year")
+        latest = years.groupBy("url").agg(F.max("page_year").alias("page_year"))
+        groups = groups.join(latest, "url", "left").withColumn("year_int", F.coalesce(F.when(F.col("year_int") > 0, F.col("year_int")), "page_year", F.lit(0))).drop("page_year")
     order = Window.partitionBy("group_type", "group_key").orderBy(F.desc("year_int"), "idx")
     out = groups.withColumn("index", F.row_number().over(order))
     return out.withColumns({c: T.null_if_empty(T.safe_text(F.col(c))) for c in FIELDS[1:]})
@@ -67,8 +69,8 @@ def group_order(rows: DataFrame, limit: int = 0) -> DataFrame:
     return ordered.limit(limit) if limit > 0 else ordered
 
 
-def materials(rows: DataFrame) -> DataFrame:
-    """X11, D-6: ``page_id, url, pos, item_type, title, snippet, file_url, confidence`` of each page of ``facts``, first of equals."""
+def materials(rows: DataFrame, of: str = "page_id") -> DataFrame:
+    """X11, D-6: ``page_id, url, pos, item_type, title, snippet, file_url, confidence`` of each page (or url) of ``facts``, first of equals."""
     links = rows.select("page_id", "url", F.explode("anchors").alias("a")).select("page_id", "url", "a.pos", "a.href", F.col("a.text_spaced").alias("text"))
     links = links.where((F.col("href") != "") & ~U.material_skips(F.col("href"))).withColumn("file_url", U.join(F.col("url"), F.col("href")))
     links = links.where(U.is_material_file(F.col("file_url"))).withColumn("item_type", T.material_type(F.col("text"), F.col("file_url"))).where("item_type is not null")
@@ -79,11 +81,11 @@ def materials(rows: DataFrame) -> DataFrame:
         "page_id", "url", (F.col("pos") + (1 << 20)).alias("pos"), F.lit("example_code").alias("item_type"), F.lit("inline code snippet").alias("title"),
         F.substring("text", 1, 200).alias("snippet"), F.lit(None).cast("string").alias("file_url"), F.lit("low").alias("confidence"),
     )
-    return material_dedup(files.unionByName(inline), ["page_id"], ["pos"])
+    return material_dedup(files.unionByName(inline), [of], ["page_id", "pos"])
 
 
-def materials_by_model(pages: DataFrame, provider, settings: Settings = DEFAULT) -> DataFrame:
-    """M14, D-7: items of every window of a page, first of equals; a window whose call fails gives none."""
+def materials_by_model(pages: DataFrame, provider, settings: Settings = DEFAULT, of: str = "page_id") -> DataFrame:
+    """M14, D-7: items of every window of a page, first of equals of a page (or url); a window whose call fails gives none."""
     windows = pages.select("page_id", "url", F.posexplode(T.chunks(F.col("html"), settings.content_chars)).alias("window", "chunk"))
     schema = "page_id long, url string, pos long, item_type string, title string, snippet string, file_url string, confidence string"
 
@@ -101,7 +103,7 @@ def materials_by_model(pages: DataFrame, provider, settings: Settings = DEFAULT)
             types = [pa.int64(), pa.string(), pa.int64()] + [pa.string()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["page_id", "url", "pos", *names])
 
-    return material_dedup(windows.mapInArrow(call, schema), ["page_id"], ["pos"])
+    return material_dedup(windows.mapInArrow(call, schema), [of], ["page_id", "pos"])
 
 
 def _titles(index):
@@ -169,6 +171,7 @@ def index_json(index: DataFrame) -> DataFrame:
 def generate(rows: DataFrame, pages: DataFrame, settings: Settings = DEFAULT, provider=None, limit: int = 0) -> dict[str, DataFrame]:
     """``index``, ``items``, ``markdown`` and ``outcome`` (a row a link: url, failed, extracted_count).
 
+    Several pages of one url are one source: a row of that url stands once, with the materials of all of them, first of equals.
     Like the process that this follows, a page that cannot be read counts as failed once, and once more if its year was looked for.
     """
     if limit:
@@ -176,7 +179,7 @@ def generate(rows: DataFrame, pages: DataFrame, settings: Settings = DEFAULT, pr
         rows = grouped(rows).join(chosen, ["group_type", "group_key"], "left_semi").select(*rows.columns)
     known = facts(pages, settings)
     index = indexed(rows, settings, known)
-    found = materials(known) if provider is None else materials_by_model(pages, provider, settings)
+    found = materials(known, "url") if provider is None else materials_by_model(pages, provider, settings, "url")
     items = index.select("group_type", "group_key", "index", "url").join(found.drop("page_id"), "url")
     counts = items.groupBy("group_type", "group_key", "index").agg(F.count("*").alias("extracted_count"))
     read = pages.where("html is not null and html <> ''").select("url", F.lit(True).alias("known")).distinct()

@@ -139,6 +139,24 @@ def test_rendering(spark):
     assert catalog.materials_by_model(pages, HeuristicProvider()).count() == 0
 
 
+def test_pages_of_one_url_are_one_source(spark):
+    rows = spark.createDataFrame([(0, "https://h/0", "CS2", "Systems", "", ""), (1, "https://h/1", "CS2", "", "", "2021")], "idx bigint, url string, course_code string, course_title string, semester string, year string")
+    html = ('<p>2019</p><a href="lec1.pdf">Lecture 1</a>', '<p>2023</p><a href="lec1.pdf">Lecture 1 again</a><a href="lec2.pdf">Lecture 2</a>')
+    pages = spark.createDataFrame([(5, "https://h/0", html[0]), (6, "https://h/0", html[1]), (7, "https://h/1", "")], "page_id long, url string, html string")
+    out = catalog.generate(rows, pages)
+    assert sorted((r["index"], r.url) for r in out["index"].collect()) == [(1, "https://h/0"), (2, "https://h/1")]
+    assert sorted((r.file_url, r.title) for r in out["items"].collect()) == [("https://h/lec1.pdf", "Lecture 1"), ("https://h/lec2.pdf", "Lecture 2")]
+    text = out["markdown"].first().markdown
+    assert text.count("**Source:**") == 2 and text.count("lec1.pdf") == text.count("lec2.pdf") == 1
+    assert sorted((r.url, r.extracted_count) for r in out["outcome"].collect()) == [("https://h/0", 2), ("https://h/1", 0)]
+
+    class Reader(HeuristicProvider):
+        def materials(self, chunk):
+            return '{"extracted_items": [{"item_type": "slides", "title": "L", "file_url": "https://h/lec1.pdf"}]}'
+
+    assert catalog.generate(rows, pages, provider=Reader())["items"].where("url = 'https://h/0'").count() == 1
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "rows.csv").write_text('Link,Code,Title,Year\nhttps://h/1,CS1,"A, ""b""",2020\nhttps://h/2,,,\n')
     rows = tables.course_rows(spark, str(tmp_path / "rows.csv"))
