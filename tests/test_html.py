@@ -32,6 +32,12 @@ def test_odd_html():
     assert H.parse("<p>x</b></p>y")["visible"] == "x y"
 
 
+def test_references_without_a_semicolon_stay():
+    p = H.parse("<h1>a&amp</h1><p>&amp;amp &#38;&#38 &notit;&am & &copy 2024 &copy; &lt;</p><script>a&&b&amp</script><a href='/x?a=1&b=2&amp;c=&amp'>t&quot</a>")
+    assert (p["h1"], p["visible"]) == ("a&amp", "a&amp &amp &&#38 &notit;&am & &copy 2024 © < t&quot")
+    assert [a["href"] for a in p["anchors"]] == ["/x?a=1&b=2&c=&"]
+
+
 def test_links_of_a_page(spark):
     pages = spark.createDataFrame([(1, "http://h/d/p.html", PAGE), (2, "https://h/", None)], "page_id long, url string, html string")
     rows = L.page_links(pages).orderBy("pos").collect()
