@@ -20,6 +20,6 @@ def folder(tmp_path_factory):
     return str(at)
 
 
-@pytest.mark.parametrize("name", ["analyze_pages", "csv_course_table", "manual_fields", "page_title"])
+@pytest.mark.parametrize("name", ["analyze_pages", "csv_course_table", "manual_fields", "page_title", "readable_text"])
 def test_against_sql(spark, folder, name):
     assert not compare.difference(QUERIES[name](spark, folder), compare.connect(folder), ORACLES[name])
